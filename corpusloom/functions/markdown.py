@@ -9,9 +9,9 @@ from .text import as_column, trim_ws
 # regular expressions agree with RE2 on carriage returns and vertical tabs.
 _SPACE = r"[\t\n\f\r ]"
 _INK = r"[^\t\n\f\r ]"
-HEADING_AT_START = rf"^#{{1,6}}{_SPACE}+{_INK}"
-LIST_LINE = rf"(?md)^[-*]{_SPACE}+{_INK}"
-INLINE_LINK = r"(?d)\[.+?\]\(.+?\)"
+HEADING_AT_START = rf"\A#{{1,6}}{_SPACE}+{_INK}"
+LIST_LINE = rf"(?m:^)[-*]{_SPACE}+{_INK}"
+INLINE_LINK = r"\[.+?\]\(.+?\)"
 
 MARKDOWN_TYPES = ("text/markdown", "text/x-markdown")
 MARKDOWN_SUFFIXES = (".md", ".markdown")
@@ -42,8 +42,8 @@ def looks_like_html(content: Column | str) -> Column:
 
 
 def has_markdown_patterns(trimmed: Column | str) -> Column:
-    text = as_column(trimmed)
-    return text.rlike(HEADING_AT_START) | text.rlike(LIST_LINE) | text.rlike(INLINE_LINK)
+    """One regular expression, so that a text is read once."""
+    return as_column(trimmed).rlike(rf"(?d){HEADING_AT_START}|{LIST_LINE}|{INLINE_LINK}")
 
 
 def is_markdown_content(content: Column | str) -> Column:

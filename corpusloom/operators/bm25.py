@@ -52,16 +52,23 @@ def _top(scored: DataFrame, limit: int) -> DataFrame:
 def join_documents(
     hits: DataFrame, documents: DataFrame, id_col: str = "id", n_hits: int | None = None
 ) -> DataFrame:
-    """Late materialization: full rows for the ranked ids only."""
-    if n_hits is not None and n_hits <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+    """Late materialization: full rows for the ranked ids only.
+
+    ``n_hits`` is a bound on the hits (the limit of one query), checked before they
+    are broadcast; without it they are the hits of a table of queries.
+    """
     columns = [c for c in documents.columns if c not in hits.columns or c == id_col]
     rows = documents.select(*columns)
     if id_col != "id":
         rows = rows.withColumnRenamed(id_col, "id")
-    return rows.join(hits, "id").select(
-        *hits.columns, *[c for c in rows.columns if c != "id"]
-    )
+    if n_hits is not None and n_hits <= BROADCAST_HITS:
+        joined = rows.join(F.broadcast(hits), "id")
+    elif n_hits is not None:
+        joined = rows.join(hits, "id")
+    else:
+        # A document may be a hit of very many queries.
+        joined = salted_join(hits, rows, ["id"], ["query_id"])
+    return joined.select(*hits.columns, *[c for c in rows.columns if c != "id"])
 
 
 def bm25_scores(

@@ -96,7 +96,8 @@ def tfidf_tags(
         "id", "term", "tf"
     )
     counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = salted_join(postings, counts, ["term"], ["id"], hot_keys(counts, ["term"], "df"))
+    hot = hot_keys(counts, ["term"], "df")
+    weighted = salted_join(postings, counts.hint("shuffle_hash"), ["term"], ["id"], hot)
     total = documents.count()
     weight = F.round(F.col("tf") * F.ln(F.lit(float(total)) / F.col("df")), 9)
     window = Window.partitionBy("id").orderBy(F.desc("weight"), "term")

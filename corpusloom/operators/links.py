@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import absolute_url, url_host
-from ..plans import cut_lineage, salted_join
+from ..plans import cut_lineage, first_per_key, salted_join
 from ..sources.pages import drop_http_errors
 
 MAX_ROUNDS = 50
@@ -54,15 +54,12 @@ def crawl_frontier(
     Every round joins the newest URLs with the edges, keeps the unseen ones and
     is cut from its lineage by a checkpoint.
     """
-    frontier = (
-        seeds.select(
-            F.col("url").alias("seed_url"),
-            F.col("url"),
-            _visit_key("url").alias("key"),
-            F.lit(1).alias("depth"),
-        )
-        .dropDuplicates(["seed_url"])
-    )
+    frontier = seeds.select(
+        F.col("url").alias("seed_url"),
+        F.col("url"),
+        _visit_key("url").alias("key"),
+        F.lit(1).alias("depth"),
+    ).distinct()
     if not follow_links or max_depth == 1:
         return frontier.drop("key")
     links = cut_lineage(
@@ -112,5 +109,7 @@ def crawl(
     good = drop_http_errors(pages)
     frontier = crawl_frontier(seeds, extract_links(good), max_depth, follow_links)
     keyed = frontier.select("seed_url", "depth", _visit_key("url").alias("_key"))
-    one_per_key = good.withColumn("_key", _visit_key("url")).dropDuplicates(["_key"])
-    return one_per_key.join(keyed, "_key").drop("_key")
+    order = ["url", F.desc("scraped_at"), F.xxhash64("body")]
+    one_per_key = first_per_key(good.withColumn("_key", _visit_key("url")), ["_key"], order)
+    # A page that very many seeds reach is split by seed.
+    return salted_join(keyed, one_per_key, ["_key"], ["seed_url"]).drop("_key")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import document_id
+from ..plans import salted_join
 
 
 def attach_urls(staged: DataFrame, manifests: DataFrame) -> DataFrame:
@@ -19,9 +20,10 @@ def attach_urls(staged: DataFrame, manifests: DataFrame) -> DataFrame:
         .agg(F.min("_url").alias("_url"))
     )
     times = manifests.groupBy("scrape_prefix").agg(F.max("timestamp").alias("scraped_at"))
-    return (
+    located = (
         staged.join(listed, ["scrape_prefix", "file_name"], "left")
         .withColumn("url", F.coalesce("_url", "file_name"))
         .drop("_url")
-        .join(times, "scrape_prefix", "left")
     )
+    # One scrape may hold a large share of all files.
+    return salted_join(located, times, ["scrape_prefix"], ["file_name"], how="left")

@@ -2,11 +2,12 @@
 
 from .lineage import cut_lineage, shared_dir
 from .sizing import broadcast_if_bounded, is_bounded, spread_scan
-from .skew import hot_keys, salted_join
+from .skew import first_per_key, hot_keys, salted_join
 
 __all__ = [
     "broadcast_if_bounded",
     "cut_lineage",
+    "first_per_key",
     "hot_keys",
     "is_bounded",
     "salted_join",

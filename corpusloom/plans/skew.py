@@ -1,6 +1,6 @@
 """Joins that survive one key holding a large share of the rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -61,3 +61,17 @@ def salted_join(
         .drop("_splits")
     )
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """The first row of each key in the given order.
+
+    The rank filter also prunes every input partition before the shuffle, so a key
+    with very many rows sends one row per partition.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        df.withColumn("_rank", F.row_number().over(window))
+        .where(F.col("_rank") == 1)
+        .drop("_rank")
+    )
