@@ -80,26 +80,37 @@ def manifest_columns(manifests: DataFrame) -> DataFrame:
     )
 
 
-def manifest_reader(reader, layout: str):
-    """Options shared by the batch and the streaming manifest readers.
+def read_manifests(
+    reader, root: str, layout: str, prefix: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """Manifest rows through a batch or a streaming reader.
 
-    ``tree``: one, possibly indented, JSON object per ``metadata.json``.
+    ``tree``: one, possibly indented, JSON object per ``metadata.json``. The glob
+    lists the run folders only, never the page objects below them; it cannot pass
+    a folder whose name holds a colon (a host with a port), for which
+    ``recursive`` lists everything below ``scrapes``.
     ``table``: JSON lines written by ``write_manifests``.
     """
-    return reader.schema(MANIFEST_SCHEMA).option("multiLine", layout == "tree")
-
-
-def manifest_path(root: str, layout: str, prefix: str | None = None) -> str:
-    # The glob lists the run folders only, never the page objects below them.
-    if layout == "tree":
-        return f"{root}/{prefix or 'scrapes/*/*'}/metadata.json"
-    return f"{root}/manifests"
+    reader = reader.schema(MANIFEST_SCHEMA).option("multiLine", layout == "tree")
+    if layout == "table":
+        path = f"{root}/manifests"
+    elif prefix is None and recursive:
+        path = f"{root}/scrapes"
+        reader = reader.option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "metadata.json"
+        )
+    else:
+        path = f"{root}/{prefix or 'scrapes/*/*'}/metadata.json"
+    return manifest_columns(reader.json(path))
 
 
 def scan_manifests(
-    spark: SparkSession, root: str, prefix: str | None = None, layout: str = "tree"
+    spark: SparkSession,
+    root: str,
+    prefix: str | None = None,
+    layout: str = "tree",
+    recursive: bool = False,
 ) -> DataFrame:
     """All manifest rows below ``root``, or those of one scrape."""
-    path = manifest_path(root, layout, prefix)
-    rows = manifest_columns(manifest_reader(spark.read, layout).json(path))
+    rows = read_manifests(spark.read, root, layout, prefix, recursive)
     return rows if prefix is None else rows.where(F.col("scrape_prefix") == prefix)

@@ -15,9 +15,7 @@ from ..operators.metrics import split_errors
 from ..plans import cut_lineage
 from ..sinks.table import create_document_table, path_exists, upsert_documents
 from ..sources.staged import (
-    manifest_columns,
-    manifest_path,
-    manifest_reader,
+    read_manifests,
     scan_manifests,
     scan_staged_pages,
     scan_staged_table,
@@ -31,6 +29,7 @@ class IngestOptions:
     """Stages and layout of an ingestion; a missing model leaves its stage out."""
 
     layout: str = "tree"
+    recursive: bool = False
     make_text_model: Callable[[], TextModel] | None = None
     make_embedding_model: Callable[[], EmbeddingModel] | None = None
     dims: int | None = None
@@ -139,10 +138,11 @@ def stream_manifests(
     root: str,
     layout: str = "tree",
     max_files: int = MANIFESTS_PER_BATCH,
+    recursive: bool = False,
 ) -> DataFrame:
     """Streaming rows of newly written manifests, one event per finished scrape."""
-    reader = manifest_reader(spark.readStream, layout).option("maxFilesPerTrigger", max_files)
-    return manifest_columns(reader.json(manifest_path(root, layout)))
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return read_manifests(reader, root, layout, recursive=recursive)
 
 
 def stream_ingest(
@@ -172,7 +172,7 @@ def stream_ingest(
             on_result(result)
 
     return (
-        stream_manifests(spark, root, options.layout, max_files)
+        stream_manifests(spark, root, options.layout, max_files, options.recursive)
         .writeStream.foreachBatch(ingest_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
