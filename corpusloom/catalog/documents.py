@@ -146,16 +146,20 @@ def crawl_to_the_end(spark, sf_dir):
 @query(
     f"""
     WITH {_sql_links('pages')},
-    keyed AS (SELECT page_id, url, html, regexp_replace(url, '(?s)#.*$', '') AS key FROM pages),
+    seeds AS (SELECT DISTINCT url, regexp_replace(url, '(?s)#.*$', '') AS key FROM pages),
+    keyed AS (
+        SELECT url, html, regexp_replace(url, '(?s)#.*$', '') AS key FROM pages
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY url, page_id DESC) = 1
+    ),
     hops AS (
         SELECT DISTINCT regexp_replace(src_url, '(?s)#.*$', '') AS src,
                regexp_replace(dst_url, '(?s)#.*$', '') AS dst
         FROM links WHERE {r.host('src_url')} = {r.host('dst_url')}
     ),
     reached AS (
-        SELECT url AS seed_url, key, 1 AS depth FROM keyed
+        SELECT url AS seed_url, key, 1 AS depth FROM seeds
         UNION ALL
-        SELECT s.url, h.dst, 2 FROM keyed s JOIN hops h ON h.src = s.key AND h.dst <> s.key
+        SELECT s.url, h.dst, 2 FROM seeds s JOIN hops h ON h.src = s.key AND h.dst <> s.key
     )
     SELECT seed_url, k.url, md5(html) AS body, min(depth) AS depth
     FROM reached JOIN keyed k USING (key) GROUP BY ALL

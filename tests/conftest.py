@@ -12,9 +12,9 @@ from corpusloom.session import SESSION_CONF, ship_package  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
