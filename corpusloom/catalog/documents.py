@@ -207,8 +207,8 @@ def _sql_visible_words(html: str) -> str:
         "(?s)<[^>]*>",
     ):
         text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
-    for entity, shown in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{shown}')"
+    for entity, shown in (("&copy;?", "©"), ("&middot;?", "·"), ("&quot;?", '"'), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{entity}', '{shown}', 'g')"
     return r.words(text)
 
 

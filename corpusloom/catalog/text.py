@@ -181,7 +181,7 @@ def sql_html_title(html: str) -> str:
     )
     for entity, text in TITLE_ENTITIES.items():
         shown = text.replace("'", "''")
-        title = f"replace({title}, '{entity}', '{shown}')"
+        title = f"regexp_replace({title}, '{entity}', '{shown}', 'g')"
     return r.trim(title)
 
 

@@ -9,16 +9,17 @@ from pyspark.sql import types as T
 
 from .text import as_column, trim_ws
 
-# Named character references decoded by the native title.
+# Character references decoded by the native title; HTML lets all
+# of them stand without the semicolon.
 TITLE_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
+    "&lt;?": "<",
+    "&gt;?": ">",
+    "&quot;?": '"',
+    "&#39;?": "'",
+    "&nbsp;?": "\u00a0",
+    "&copy;?": "©",
+    "&middot;?": "·",
+    "&amp;?": "&",
 }
 
 CONVERTED = T.StructType(
@@ -39,9 +40,10 @@ def html_title(html: Column | str) -> Column:
         as_column(html), F.lit(r"(?is)<title(?:[\s/][^>]*)?>([^<]+)</title"), F.lit(1)
     )
     title = F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit(""))
+    decoded = title
     for entity, text in TITLE_ENTITIES.items():
-        title = F.replace(title, F.lit(entity), F.lit(text))
-    return trim_ws(title)
+        decoded = F.regexp_replace(decoded, entity, text)
+    return trim_ws(F.when(title.contains("&"), decoded).otherwise(title))
 
 
 _SKIPPED = {"script", "style", "noscript", "template"}

@@ -42,6 +42,7 @@ def test_titles(column):
     cases = {
         "<title>Plain</title>": "Plain",
         "<title>First</title><svg><title> Last &amp; least </title></svg>": "Last & least",
+        "<title>&quot;A &amp;amp; B &amp</title>": '"A &amp; B &',
         "<title>Kept</title><title></title>": "Kept",
         "<TITLE lang=en>\n Upper </TITLE>": "Upper",
         "<titles>no</titles>": "",
