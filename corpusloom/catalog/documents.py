@@ -49,7 +49,8 @@ def _sql_links(source: str) -> str:
     f"""
     WITH {_sql_links('pages')}
     SELECT src_url, dst_url, {r.host('src_url')} = {r.host('dst_url')} AS same_host FROM links
-    """
+    """,
+    name="extract_links_all_hosts",
 )
 def links_all(spark, sf_dir):
     edges = extract_links(pages_table(spark, sf_dir), same_host=False)
@@ -67,7 +68,8 @@ _MORE_ANCHORS = (
     f"""
     WITH made AS (SELECT url, {_MORE_ANCHORS} AS html FROM pages), {_sql_links('made')}
     SELECT src_url, dst_url FROM links WHERE {r.host('src_url')} = {r.host('dst_url')}
-    """
+    """,
+    name="extract_links",
 )
 def links_same_host(spark, sf_dir):
     more = F.concat(
@@ -120,7 +122,8 @@ def _made_edges(spark, sf_dir):
            '{_SITE}' || i || CASE WHEN i = 0 AND seed <> 0 THEN '#again' ELSE '' END AS url,
            min(depth) AS depth
     FROM walk GROUP BY seed, i
-    """
+    """,
+    name="crawl_frontier",
 )
 def crawl_by_depth(spark, sf_dir):
     seeds = spark.sql(f"SELECT '{_SITE}' || i AS url FROM VALUES (0), (2), (7) AS seeds(i)")
@@ -136,7 +139,8 @@ def crawl_by_depth(spark, sf_dir):
         ON page_id BETWEEN 4 * i + 1 AND 4 * i + 4
     )
     SELECT '{_SITE}0' AS seed_url, '{_SITE}' || i AS url, depth FROM walk
-    """
+    """,
+    name="crawl_frontier_unbounded",
 )
 def crawl_to_the_end(spark, sf_dir):
     seeds = spark.sql(f"SELECT '{_SITE}0' AS url")
@@ -182,7 +186,8 @@ def crawl_pages(spark, sf_dir):
            CASE WHEN t.url IS NULL THEN 'text/html' ELSE 'text/plain' END AS content_type,
            md5(coalesce(t.body, p.html)) AS body
     FROM pages p LEFT JOIN twins t ON t.url = regexp_replace(p.url, '/$', '') || '.md'
-    """
+    """,
+    name="prefer_markdown_variant",
 )
 def markdown_variant(spark, sf_dir):
     """Every second page was also fetched as Markdown, some of them with an error."""
@@ -249,7 +254,8 @@ def html_to_markdown(spark, sf_dir):
     SELECT {r.document_id('url')} AS id, url, coalesce(nullif(title, ''), url) AS title, content_type,
            content AS markdown_content, true AS has_content, false AS failed
     FROM rows
-    """
+    """,
+    name="build_documents",
 )
 def documents_from_pages(spark, sf_dir):
     """HTML pages are converted, Markdown bodies pass through."""
@@ -296,7 +302,8 @@ def _make_text_model():
                 ELSE length(text) || ' characters' END AS summary,
            strlen(text) > 20000 AS is_long
     FROM documents
-    """
+    """,
+    name="enrich",
 )
 def enrich_with_model(spark, sf_dir):
     """A model that fails for documents without a title; long ones are cut before
@@ -337,7 +344,8 @@ def _make_embedding_model():
            CASE WHEN whole AND breaks % 2 = 0 THEN n::FLOAT || ' ' || breaks::FLOAT END AS embedding,
            CASE WHEN whole AND breaks % 2 = 1 THEN 'embedding: expected 2 values, got 3' END AS error
     FROM m
-    """
+    """,
+    name="embed",
 )
 def embed_with_model(spark, sf_dir):
     """A model whose vectors have a wrong size for some texts."""
@@ -354,7 +362,8 @@ def embed_with_model(spark, sf_dir):
 @query(
     f"""
     SELECT doc_id AS id, CASE WHEN len({r.words('text')}) > 0 THEN 256 END AS dims FROM documents
-    """
+    """,
+    name="embed_default",
 )
 def embed_by_hashing(spark, sf_dir):
     embedded = embed_default(documents_table(spark, sf_dir), 256)

@@ -58,7 +58,8 @@ _SQL_SCRAPED = f"""
            CASE WHEN page_id % 10 = 0 THEN file_name ELSE url END AS url,
            md5(html) AS content
     FROM listed
-    """
+    """,
+    name="attach_urls",
 )
 def urls_of_staged_files(spark, sf_dir):
     """Every tenth page is missing from its manifest."""
@@ -85,7 +86,8 @@ def urls_of_staged_files(spark, sf_dir):
     SELECT scrape_prefix, source_url, page_count::INT AS page_count, part, parts,
            string_agg(url, ' ' ORDER BY url) AS pages
     FROM parted GROUP BY ALL
-    """
+    """,
+    name="manifest",
 )
 def manifests(spark, sf_dir):
     """Scrapes of more than five pages are split into several manifest rows."""
@@ -191,13 +193,14 @@ _SQL_COUNTERS = """
 """
 
 
-@query(f"SELECT scrape_prefix, {_SQL_COUNTERS} FROM ({_SQL_SCRAPED}) GROUP BY scrape_prefix")
+@query(f"SELECT scrape_prefix, {_SQL_COUNTERS} FROM ({_SQL_SCRAPED}) GROUP BY scrape_prefix", name="run_metrics")
 def metrics_per_scrape(spark, sf_dir):
     return run_metrics(_outcomes(spark, sf_dir))
 
 
 @query(
-    f"SELECT scrape_prefix, {_SQL_COUNTERS} FROM ({_SQL_SCRAPED}) GROUP BY ROLLUP (scrape_prefix)"
+    f"SELECT scrape_prefix, {_SQL_COUNTERS} FROM ({_SQL_SCRAPED}) GROUP BY ROLLUP (scrape_prefix)",
+    name="run_totals",
 )
 def metrics_totals(spark, sf_dir):
     return run_totals(_outcomes(spark, sf_dir))
@@ -207,7 +210,8 @@ def metrics_totals(spark, sf_dir):
     f"""
     SELECT CASE WHEN page_id % 7 = 0 THEN 'quarantine' ELSE 'good' END AS kind, url
     FROM ({_SQL_SCRAPED})
-    """
+    """,
+    name="split_errors",
 )
 def good_and_quarantined(spark, sf_dir):
     good, bad = split_errors(_outcomes(spark, sf_dir))
@@ -234,7 +238,7 @@ def _ingested(spark, documents):
     )
 
 
-@query(_SQL_INGESTED)
+@query(_SQL_INGESTED, name="stream_ingest")
 def ingest_by_stream(spark, sf_dir):
     """Pages staged with their manifests, then ingested by the stream."""
     root = _work_dir(spark)
@@ -249,7 +253,8 @@ def ingest_by_stream(spark, sf_dir):
 
 
 @query(
-    f"SELECT * FROM ({_SQL_INGESTED}) WHERE {r.host('url')} = (SELECT min({r.host('url')}) FROM pages)"
+    f"SELECT * FROM ({_SQL_INGESTED}) WHERE {r.host('url')} = (SELECT min({r.host('url')}) FROM pages)",
+    name="ingest_prefix",
 )
 def ingest_one_scrape(spark, sf_dir):
     root = _work_dir(spark)

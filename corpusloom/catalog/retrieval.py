@@ -108,7 +108,8 @@ def bm25_all_scores(spark, sf_dir):
     f"""
     WITH {_ONE_FIELD}, ranked AS ({_RANKED})
     SELECT rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 10
-    """
+    """,
+    name="search_index",
 )
 def search_by_index(spark, sf_dir):
     index = build_index(documents_table(spark, sf_dir), STANDARD_CONTENT)
@@ -164,7 +165,8 @@ def _batch_queries(spark, sf_dir):
     f"""
     WITH {_sql_bm25({"content": (_DOCS, "text", 1.0)}, _BATCH_TERMS)}, ranked AS ({_RANKED})
     SELECT query_id, rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 10
-    """
+    """,
+    name="search_many",
 )
 def search_batch(spark, sf_dir):
     index = build_index(documents_table(spark, sf_dir), STANDARD_CONTENT)
@@ -217,7 +219,8 @@ def _mean_vector(spark, sf_dir):
     WITH q AS ({_MEAN}), s AS (SELECT vec_id AS id, {_sql_cosine('embedding', 'v')} AS score FROM embeddings, q)
     SELECT CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank, id, round(score, 6) AS score
     FROM s QUALIFY rank <= 20
-    """
+    """,
+    name="knn",
 )
 def knn_exact(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
@@ -231,7 +234,8 @@ def knn_exact(spark, sf_dir):
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank,
            id, round(score, 6) AS score
     FROM s QUALIFY rank <= 10
-    """
+    """,
+    name="knn_many",
 )
 def knn_batch(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
@@ -240,7 +244,7 @@ def knn_batch(spark, sf_dir):
     return hits.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(name="knn_approx")
 def knn_by_hashing(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return _scores(knn_approx(vectors, _mean_vector(spark, sf_dir), 10, id_col="vec_id"))
@@ -268,7 +272,8 @@ HYBRID_LIMIT = 100
     fused AS (SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM arms GROUP BY id)
     SELECT CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank, id, round(score, 6) AS score
     FROM fused QUALIFY rank <= {HYBRID_LIMIT}
-    """
+    """,
+    name="hybrid_search",
 )
 def hybrid(spark, sf_dir):
     documents = _documents_with_vectors(spark, sf_dir)
@@ -314,7 +319,8 @@ def hybrid_fallback(spark, sf_dir):
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank,
            id, round(score, 6) AS score
     FROM fused QUALIFY rank <= 50
-    """
+    """,
+    name="hybrid_search_many",
 )
 def hybrid_batch(spark, sf_dir):
     """Queries whose id is a label have a vector, the others fall back to text."""
@@ -328,7 +334,7 @@ def hybrid_batch(spark, sf_dir):
     return hits.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
 
 
-@query("SELECT doc_id AS id, md5(text) AS content, lang FROM documents WHERE doc_id = 42")
+@query("SELECT doc_id AS id, md5(text) AS content, lang FROM documents WHERE doc_id = 42", name="get_document")
 def document_by_id(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("content"), "lang"
@@ -341,7 +347,8 @@ def document_by_id(spark, sf_dir):
     SELECT ids.id, text IS NOT NULL AS found, md5(text) AS content
     FROM (SELECT doc_id * 2 AS id FROM labels UNION SELECT -1) ids
     LEFT JOIN documents ON doc_id = ids.id
-    """
+    """,
+    name="get_many",
 )
 def documents_by_ids(spark, sf_dir):
     ids = table(spark, sf_dir, "labels").select((F.col("doc_id") * 2).alias("id"))
@@ -418,7 +425,8 @@ def hits_json(spark, sf_dir):
                 THEN md5(substr(text, 1, 500) || '...')
                 WHEN strlen(text) <= 500 THEN md5(text) END AS ascii_content
     FROM hits
-    """
+    """,
+    name="hits_preview",
 )
 def hits_text(spark, sf_dir):
     full = _full_hits(spark, sf_dir)

@@ -307,7 +307,8 @@ def parse_tags(spark, sf_dir):
     """
     SELECT source AS name, 'https://docs.example.org/' || doc_id AS url
     FROM documents WHERE source = 'src7' AND lang <> 'de'
-    """
+    """,
+    name="select_sources",
 )
 def select_named_source(spark, sf_dir):
     return select_sources(_sources(spark, sf_dir), name="src7")
@@ -380,7 +381,8 @@ def enrichment_prompts(spark, sf_dir):
         FROM (SELECT doc_id, unnest(w) AS term FROM tokens) GROUP BY doc_id, term
     )
     SELECT 'content' AS field, term, doc_id AS id, tf, len(w) AS len FROM tf JOIN tokens USING (doc_id)
-    """
+    """,
+    name="build_postings",
 )
 def postings(spark, sf_dir):
     return build_postings(documents_table(spark, sf_dir), {"content": STANDARD})
@@ -429,7 +431,8 @@ def corpus_stats(spark, sf_dir):
     )
     SELECT doc_id AS id, string_agg(term, ' ' ORDER BY rank) AS tags
     FROM ranked WHERE rank <= 15 GROUP BY doc_id
-    """
+    """,
+    name="tfidf_tags",
 )
 def tags_by_tfidf(spark, sf_dir):
     tags = tfidf_tags(documents_table(spark, sf_dir))
@@ -447,7 +450,8 @@ def tags_by_tfidf(spark, sf_dir):
                list_transform(regexp_split_to_array(content, '\\n[\\t\\r ]*\\n'), lambda x: {r.trim('x')}),
                lambda x: x <> '' AND NOT starts_with(x, '#')), 1) AS summary
     FROM made
-    """
+    """,
+    name="lead_summary",
 )
 def summary_by_lead(spark, sf_dir):
     content = F.concat(F.lit("# Title\n\n"), F.replace("content", F.lit("\n"), F.lit("\n\n")))

@@ -29,7 +29,7 @@ def normalized(rows, columns):
 
 def test_registration():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"search_english", "knn_by_hashing"}
+    assert set(QUERIES) - set(ORACLES) == {"search_english", "knn_approx"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
