@@ -180,14 +180,39 @@ def _length_totals(fields, size) -> list[Column]:
 
 @dataclass(frozen=True)
 class CorpusIndex:
-    """Derived tables of a corpus; lazy until written."""
+    """Derived tables of a corpus; lazy until written (see ``sinks.index``).
+
+    ``lengths`` has ``field, id, len`` for every document and field, also where
+    ``len`` is 0, and so lists the documents the index covers.
+    """
 
     postings: DataFrame
+    lengths: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
     fields: dict[str, str]
 
 
+def field_lengths(
+    documents: DataFrame, fields: dict[str, str] | None = None, id_col: str = "id"
+) -> DataFrame:
+    fields = fields or present_fields(documents)
+    rows = [
+        F.struct(F.lit(f).alias("field"), F.size(f).cast("bigint").alias("len")) for f in fields
+    ]
+    lengths = tokenize(documents, fields, id_col).select("id", F.inline(F.array(*rows)))
+    return lengths.select("field", "id", "len")
+
+
+def stats_of_lengths(lengths: DataFrame) -> DataFrame:
+    """``field_stats`` from stored lengths."""
+    return (
+        lengths.where(F.col("len") > 0)
+        .groupBy("field")
+        .agg(F.count(F.lit(1)).alias("doc_count"), F.avg("len").alias("avg_len"))
+    )
+
+
 def build_corpus_stats(
     documents: DataFrame, fields: dict[str, str] | None = None, id_col: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
@@ -204,46 +229,9 @@ def build_index(
     fields = fields or present_fields(documents)
     postings = build_postings(documents, fields, id_col)
     return CorpusIndex(
-        postings, term_stats(postings), field_stats(documents, fields, id_col), fields
-    )
-
-
-def write_index(index: CorpusIndex, path: str) -> None:
-    """Store an index as Parquet.
-
-    Postings are laid out by field and sorted by term, so ``term IN (...)`` prunes
-    files and row groups. Range partitioning includes the id and therefore cuts a
-    very frequent term into several files.
-    """
-    spark = index.postings.sparkSession
-    (
-        index.postings.repartitionByRange("field", "term", "id")
-        .sortWithinPartitions("field", "term", "id")
-        .write.partitionBy("field")
-        .mode("overwrite")
-        .parquet(f"{path}/postings")
-    )
-    stored = spark.read.parquet(f"{path}/postings")
-    (
-        term_stats(stored)
-        .repartitionByRange("field", "term")
-        .sortWithinPartitions("field", "term")
-        .write.partitionBy("field")
-        .mode("overwrite")
-        .parquet(f"{path}/term_stats")
-    )
-    analyzers = F.create_map(*[F.lit(v) for item in index.fields.items() for v in item])
-    (
-        index.field_stats.withColumn("analyzer", analyzers[F.col("field")])
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{path}/field_stats")
+        postings,
+        field_lengths(documents, fields, id_col),
+        term_stats(postings),
+        field_stats(documents, fields, id_col),
+        fields,
     )
-
-
-def open_index(spark: SparkSession, path: str) -> CorpusIndex:
-    stats = spark.read.parquet(f"{path}/field_stats")
-    fields = {row["field"]: row["analyzer"] for row in stats.collect()}
-    postings = spark.read.parquet(f"{path}/postings").select("field", "term", "id", "tf", "len")
-    terms = spark.read.parquet(f"{path}/term_stats").select("field", "term", "df")
-    return CorpusIndex(postings, terms, stats.drop("analyzer"), fields)

@@ -1,5 +1,7 @@
 """BM25 search: one query over documents, a table of queries over an index."""
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -270,11 +272,8 @@ def search_index(
             test = (F.col("field") == field) & F.col("term").isin(*sorted(tokens))
             wanted = test if wanted is None else wanted | test
     wanted = F.lit(False) if wanted is None else wanted
-    pruned = CorpusIndex(
-        index.postings.where(wanted),
-        index.term_stats.where(wanted),
-        index.field_stats,
-        index.fields,
+    pruned = replace(
+        index, postings=index.postings.where(wanted), term_stats=index.term_stats.where(wanted)
     )
     queries = spark.createDataFrame([("q", query)], "query_id string, query string")
     return search_many(pruned, queries, limit, boosts, documents).drop("query_id")

@@ -1,6 +1,7 @@
 """Hybrid search: reciprocal rank fusion of BM25 and nearest neighbours."""
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,11 +84,13 @@ def hybrid_search_many(
     window = limit if window is None else window
     with_vector = queries.where(F.col("query_embedding").isNotNull())
     without = queries.where(F.col("query_embedding").isNull())
-    narrow = CorpusIndex(
-        index.postings.where(F.col("field").isin(*HYBRID_FIELDS)),
-        index.term_stats.where(F.col("field").isin(*HYBRID_FIELDS)),
-        index.field_stats.where(F.col("field").isin(*HYBRID_FIELDS)),
-        hybrid_fields(index.fields),
+    in_use = F.col("field").isin(*HYBRID_FIELDS)
+    narrow = replace(
+        index,
+        postings=index.postings.where(in_use),
+        term_stats=index.term_stats.where(in_use),
+        field_stats=index.field_stats.where(in_use),
+        fields=hybrid_fields(index.fields),
     )
     text = top_per_query(score_many(narrow, with_vector), window)
     near = knn_many(documents, with_vector, window, id_col, vector_col)

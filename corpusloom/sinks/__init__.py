@@ -1,6 +1,7 @@
-"""Writers: staged pages, manifests, the document table, result rows."""
+"""Writers: staged pages, manifests, the document table, the index, result rows."""
 
 from .hits import hits_preview, hits_to_json
+from .index import compact_index, open_index, update_index, write_index
 from .staging import manifest_rows, stage_pages, write_manifests
 from .table import (
     compact_documents,
@@ -13,14 +14,18 @@ from .table import (
 
 __all__ = [
     "compact_documents",
+    "compact_index",
     "create_document_table",
     "drop_document_table",
     "hits_preview",
     "hits_to_json",
     "latest_by_id",
     "manifest_rows",
+    "open_index",
     "read_document_table",
     "stage_pages",
+    "update_index",
     "upsert_documents",
+    "write_index",
     "write_manifests",
 ]

@@ -7,61 +7,17 @@ that a reader may hold is changed in place. An upsert costs as much as its batch
 ``compact_documents`` folds the deltas into a new base.
 """
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import broadcast_if_bounded, cut_lineage, first_per_key
 from ..schemas import DOCUMENT_SCHEMA
 from ..sources.pages import scan_documents
+from .versions import hadoop_path, live_versions, next_version, versions
 
 COMPACT_AFTER = 16
 
 
-@dataclass(frozen=True)
-class _Version:
-    kind: str
-    number: int
-    path: str
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jvm_path = _hadoop_path(spark, path)
-    return fs.exists(jvm_path)
-
-
-def _versions(spark: SparkSession, root: str, finished: bool = True) -> list[_Version]:
-    fs, jvm_path = _hadoop_path(spark, root)
-    if not fs.exists(jvm_path):
-        return []
-    found = []
-    for status in fs.listStatus(jvm_path):
-        kind, _, number = status.getPath().getName().partition("-")
-        if kind in ("base", "delta") and number.isdigit():
-            path = f"{root}/{kind}-{number}"
-            if not finished or path_exists(spark, f"{path}/_SUCCESS"):
-                found.append(_Version(kind, int(number), path))
-    return sorted(found, key=lambda v: v.number)
-
-
-def _live(spark: SparkSession, root: str) -> tuple[_Version | None, list[_Version]]:
-    found = _versions(spark, root)
-    base = max((v for v in found if v.kind == "base"), key=lambda v: v.number, default=None)
-    after = base.number if base else -1
-    return base, [v for v in found if v.kind == "delta" and v.number > after]
-
-
-def _next_path(spark: SparkSession, root: str, kind: str) -> str:
-    number = max((v.number for v in _versions(spark, root, finished=False)), default=-1) + 1
-    return f"{root}/{kind}-{number:010d}"
-
-
 def latest_by_id(df: DataFrame, *newest_first: Column) -> DataFrame:
     return first_per_key(df, ["id"], list(newest_first))
 
@@ -77,14 +33,14 @@ def _write(df: DataFrame, path: str) -> None:
 
 def create_document_table(spark: SparkSession, root: str) -> None:
     """Make an empty table; an existing one is left as it is."""
-    if _live(spark, root) == (None, []):
+    if live_versions(spark, root) == (None, []):
         empty = spark.createDataFrame([], DOCUMENT_SCHEMA)
-        _write(empty, _next_path(spark, root, "base"))
+        _write(empty, next_version(spark, root, "base"))
 
 
 def drop_document_table(spark: SparkSession, root: str) -> None:
     """Remove the table; a missing one is not an error."""
-    fs, jvm_path = _hadoop_path(spark, root)
+    fs, jvm_path = hadoop_path(spark, root)
     fs.delete(jvm_path, True)
     spark.catalog.refreshByPath(root)
 
@@ -95,7 +51,7 @@ def read_document_table(spark: SparkSession, root: str) -> DataFrame:
     Base rows changed by a later delta are removed with an anti join on the delta
     ids; the base is not regrouped.
     """
-    base, deltas = _live(spark, root)
+    base, deltas = live_versions(spark, root)
     if base is None and not deltas:
         raise FileNotFoundError(f"no document table at {root}")
     if not deltas:
@@ -131,7 +87,7 @@ def upsert_documents(
             F.desc("content"),
         )
     )
-    path = _next_path(spark, root, "delta")
+    path = next_version(spark, root, "delta")
     ids, _ = broadcast_if_bounded(batch.select("id"))
     held = (
         read_document_table(spark, root)
@@ -143,20 +99,20 @@ def upsert_documents(
     )
     _write(fresh.drop("_held_at"), path)
     spark.catalog.refreshByPath(root)
-    if len(_live(spark, root)[1]) > compact_after:
+    if len(live_versions(spark, root)[1]) > compact_after:
         compact_documents(spark, root)
 
 
 def compact_documents(spark: SparkSession, root: str) -> None:
     """Fold the deltas into a new base; the previous generation stays readable."""
-    base, deltas = _live(spark, root)
+    base, deltas = live_versions(spark, root)
     if not deltas:
         return
-    old = [v for v in _versions(spark, root) if base is not None and v.number < base.number]
+    old = [v for v in versions(spark, root) if base is not None and v.number < base.number]
     # Sorted ids let a lookup skip almost every file and row group of the base.
     folded = read_document_table(spark, root).repartitionByRange("id").sortWithinPartitions("id")
     _write(folded, f"{root}/base-{deltas[-1].number:010d}")
     for version in old:
-        fs, jvm_path = _hadoop_path(spark, version.path)
+        fs, jvm_path = hadoop_path(spark, version.path)
         fs.delete(jvm_path, True)
     spark.catalog.refreshByPath(root)

@@ -13,7 +13,8 @@ from ..operators.enrich import EmbeddingModel, TextModel
 from ..operators.manifests import attach_urls
 from ..operators.metrics import split_errors
 from ..plans import cut_lineage
-from ..sinks.table import create_document_table, path_exists, upsert_documents
+from ..sinks.table import create_document_table, upsert_documents
+from ..sinks.versions import path_exists
 from ..sources.staged import (
     read_manifests,
     scan_manifests,

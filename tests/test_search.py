@@ -12,12 +12,11 @@ from corpusloom.operators.analysis import (
     build_index,
     build_postings,
     field_stats,
-    open_index,
     present_fields,
     term_stats,
-    write_index,
 )
 from corpusloom.operators.bm25 import search, search_index, search_many
+from corpusloom.sinks import compact_index, open_index, update_index, write_index
 
 DOCUMENTS = [
     ("a", "Setup guide", "# Setup\n\nInstall the tool with the package manager.", ["setup", "install"], None),
@@ -150,6 +149,30 @@ def test_stored_index_prunes_terms(spark, documents, tmp_path, capsys):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_index_updates(spark, documents, queries, tmp_path):
+    """Changed, emptied and new documents; the index equals one built afresh."""
+    root = str(tmp_path / "index")
+    write_index(build_index(documents), root)
+    schema = documents.schema
+    first = spark.createDataFrame(
+        [("b", "Settings", "people changed here", None, None), ("n", "New", "a new tool", ["tool"], None)], schema)
+    second = spark.createDataFrame([("c", "", "", None, None), ("b", "Settings", "tool tool people", None, None)], schema)
+    update_index(spark, first, root)
+    update_index(spark, second, root)
+    kept = documents.where("id not in ('b', 'c')").unionByName(first.where("id = 'n'"))
+    fresh = kept.unionByName(second)
+
+    def same():
+        index = open_index(spark, root)
+        assert sorted(search_many(index, queries, 9).collect()) == sorted(
+            search_many(build_index(fresh), queries, 9).collect())
+        assert pairs(search_index(index, "people tool", 9)) == pairs(search(fresh, "people tool", 9))
+
+    same()
+    compact_index(spark, root)
+    same()
+
+
 def test_postings_are_a_narrow_operation(documents, capsys):
     build_postings(documents).explain()
     assert "Exchange" not in capsys.readouterr().out
