@@ -1,11 +1,12 @@
 """BM25 search: one query over documents, a table of queries over an index."""
 
+from collections import Counter
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import broadcast_if_bounded, hot_keys, is_bounded, salted_join
+from ..plans import hot_keys, is_bounded, salted_join
 from .analysis import (
     CorpusIndex,
     _length_totals,
@@ -91,12 +92,8 @@ def bm25_scores(
     fields = fields or present_fields(documents)
     boosts = boosts or {}
     spark = documents.sparkSession
-    terms: dict[str, dict[str, int]] = {}
-    for field, analyzer in fields.items():
-        counts: dict[str, int] = {}
-        for token in analyze_text(spark, query, analyzer):
-            counts[token] = counts.get(token, 0) + 1
-        terms[field] = counts
+    analyzed = {a: analyze_text(spark, query, a) for a in set(fields.values())}
+    terms = {f: Counter(analyzed[a]) for f, a in fields.items()}
     tokens = tokenize(documents, fields, id_col)
     kept = tokens.select(
         "id",
@@ -183,17 +180,21 @@ def score_many(
     boosts: dict[str, float] | None = None,
     k1: float = K1,
     b: float = B,
+    bounded: bool = False,
 ) -> DataFrame:
     """``query_id, id, score`` for every matching pair of query and document.
 
     The weighted query terms are broadcast when their measured size allows;
     otherwise they meet the postings in a shuffle join in which the postings of
-    very frequent terms are salted by document id.
+    very frequent terms are salted by document id. ``bounded`` says that the
+    queries come from the driver and need no measuring.
     """
     boosts = boosts or {}
     terms = query_terms(queries, index.fields)
-    distinct_terms, small = broadcast_if_bounded(terms.select("field", "term").distinct())
-    small = small and is_bounded(terms)
+    small = bounded or is_bounded(terms)
+    distinct_terms = terms.select("field", "term").distinct()
+    if small:
+        distinct_terms = F.broadcast(distinct_terms)
     stats = index.term_stats.join(distinct_terms, ["field", "term"], "left_semi")
     weights = (
         terms.join(stats, ["field", "term"])
@@ -238,16 +239,16 @@ def search_many(
     documents: DataFrame | None = None,
     k1: float = K1,
     b: float = B,
+    bounded: bool = False,
 ) -> DataFrame:
     """``query_id, rank, id, score`` for every row of ``queries``.
 
-    Rows without a query id or text are an error of the caller and are dropped by
-    neither side: they simply have no terms and so no hits. With ``documents`` the
-    document columns are joined to the hits.
+    A row without text has no terms and so no hits. With ``documents`` the document
+    columns are joined to the hits.
     """
     check_limit(limit)
     boosts = BOOSTS if boosts is None else boosts
-    hits = top_per_query(score_many(index, queries, boosts, k1, b), limit)
+    hits = top_per_query(score_many(index, queries, boosts, k1, b, bounded), limit)
     hits = hits.select("query_id", "rank", "id", "score")
     return hits if documents is None else join_documents(hits, documents)
 
@@ -276,4 +277,5 @@ def search_index(
         index, postings=index.postings.where(wanted), term_stats=index.term_stats.where(wanted)
     )
     queries = spark.createDataFrame([("q", query)], "query_id string, query string")
-    return search_many(pruned, queries, limit, boosts, documents).drop("query_id")
+    hits = search_many(pruned, queries, limit, boosts, documents, bounded=True)
+    return hits.drop("query_id")
