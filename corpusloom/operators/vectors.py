@@ -211,7 +211,11 @@ def knn_approx(
     if candidates < 1:
         return knn(documents, vector, 0, id_col, vector_col)
     normalizer = Normalizer(inputCol="_raw", outputCol="_unit")
-    unit = normalizer.transform(usable.withColumn("_raw", array_to_vector("vector")))
+    # Filters may be evaluated in any order, so the conversion guards itself against
+    # the rows that the filter in ``usable`` drops.
+    zero = F.array_repeat(F.lit(0.0).cast("float"), len(vector))
+    sized = F.when(F.size("vector") == len(vector), F.col("vector")).otherwise(zero)
+    unit = normalizer.transform(usable.withColumn("_raw", array_to_vector(sized)))
     lsh = BucketedRandomProjectionLSH(
         inputCol="_unit",
         outputCol="_hashes",
