@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
+from .token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +45,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(manifest).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
