@@ -41,12 +41,15 @@ def work_table(df: DataFrame, partition_by: list[str] | None = None) -> DataFram
 
 def work_path(spark: SparkSession) -> str:
     """A new path in the shared checkpoint folder, removed when the application ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.mkdirs(hadoop_path.getParent())
-    file_system.deleteOnExit(hadoop_path)
-    return path
+    context = spark.sparkContext
+    root = f"{shared_dir(spark).rstrip('/')}/llm-{context.applicationId}"
+    if getattr(context, "_llm_work_root", None) != root:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        context._llm_work_root = root
+    return f"{root}/{uuid.uuid4().hex}"
 
 
 def text_blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
+from .common import work_path
 from .token_files import read_token_files, write_token_files
+from .warc import read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +59,36 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query(
+    sql="""
+    WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+    ), d AS (
+        SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest
+        FROM p
+    ), w AS (
+        SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS latest FROM d
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END
+            AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN latest END AS refers_to
+    FROM w
+    """
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_path(spark)
+    manifest = write_warc(table(spark, sf_dir, "pages"), path=root)
+    records = read_warc(spark, root, manifest)
+    # The digest of a response is taken from the bytes that were read.
+    digest = F.when(F.col("record_type") == "response", F.sha1("payload"))
+    size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long"))
+    return records.where("gap is null").select(
+        "page_id",
+        F.coalesce(size, "payload_bytes").alias("payload_bytes"),
+        F.coalesce(digest, "payload_digest").alias("payload_digest"),
+        "record_type",
+        F.regexp_extract("refers_to", r"<urn:page:(-?\d+)>", 1).try_cast("long").alias("refers_to"),
+    )
