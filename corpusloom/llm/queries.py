@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
+from .chat import format_conversations, read_back
 from .common import work_path
 from .token_files import read_token_files, write_token_files
 from .warc import read_warc, write_warc
@@ -92,3 +93,35 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.regexp_extract("refers_to", r"<urn:page:(-?\d+)>", 1).try_cast("long").alias("refers_to"),
     )
+
+
+@query(
+    sql=r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), marked AS (
+        SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')
+            AS body
+        FROM rows
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+            AS loss_chars,
+        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn),
+            '')) AS loss_sha256,
+        CAST(sum(length('### ' || role || ': ' || body || ' </turn>' || chr(10))) AS BIGINT)
+            AS formatted_chars,
+        regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u'
+            WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn), 's?u(au)*a?') AS valid
+    FROM marked GROUP BY conv_id
+    """
+)
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return read_back(format_conversations(rows.union(more)))
