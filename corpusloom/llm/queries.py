@@ -10,6 +10,7 @@ from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
 from .chat import format_conversations, read_back
 from .common import work_path
+from .quality_rules import quality_rules
 from .token_files import read_token_files, write_token_files
 from .warc import read_warc, write_warc
 
@@ -125,3 +126,79 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
     return read_back(format_conversations(rows.union(more)))
+
+
+_LINE = (
+    "regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),"
+    " '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')"
+)
+
+
+@query(
+    sql=rf"""
+    WITH d AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)
+    ), repeated AS (
+        SELECT doc_id, i FROM (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM windows
+        ) WHERE n > 1
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
+    ), lines AS (
+        SELECT doc_id, source, text, line, {_LINE} AS plain,
+            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+        FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
+    ), worded AS (
+        SELECT * FROM lines WHERE n > 0
+    ), duplicates AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id
+    ), hosts AS (
+        SELECT source, count(DISTINCT text) AS total FROM documents
+        WHERE text IS NOT NULL GROUP BY source
+    ), frequent AS (
+        SELECT w.source, plain FROM worded w JOIN hosts h
+            ON w.source IS NOT DISTINCT FROM h.source
+        GROUP BY w.source, plain, total
+        HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) * 100 > total * 10
+    ), removed AS (
+        SELECT doc_id, count(*) AS n_removed_lines, sum(n) AS removed_words
+        FROM worded w JOIN frequent f
+            ON w.source IS NOT DISTINCT FROM f.source AND w.plain = f.plain
+        GROUP BY doc_id
+    ), s AS (
+        SELECT doc_id, len(words) AS n_words,
+            CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT)
+                AS word_chars,
+            CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+            coalesce(n_dup_lines, 0) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words,
+            coalesce(n_removed_lines, 0) AS n_removed_lines,
+            CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN duplicates USING (doc_id)
+            LEFT JOIN removed USING (doc_id)
+    ), b AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s
+    )
+    SELECT *, NOT base_failed AND NOT removed_words * 100 > n_words * 80 AS kept FROM b
+    """
+)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality_rules(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_removed_lines",
+        "removed_words",
+        "base_failed",
+        "kept",
+    )
