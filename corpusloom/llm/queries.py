@@ -10,6 +10,7 @@ from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
 from .chat import format_conversations, read_back
 from .common import work_path
+from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
 from .token_files import read_token_files, write_token_files
 from .warc import read_warc, write_warc
@@ -202,3 +203,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = train(training_examples(docs, labels.where(remainder != 1)))
+    return score_documents(docs, model).select(
+        "doc_id",
+        (remainder == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
