@@ -10,6 +10,7 @@ from ..session import ship_package
 from .byte_bpe import decode_documents, encode_documents
 from .chat import format_conversations, read_back
 from .common import work_path
+from .decontamination import contaminated
 from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
 from .token_files import read_token_files, write_token_files
@@ -217,3 +218,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated(docs, table(spark, sf_dir, "benchmark"))
