@@ -13,6 +13,7 @@ from .common import work_path
 from .decontamination import contaminated
 from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
+from .repeated_strings import remove_repeated
 from .token_files import read_token_files, write_token_files
 from .warc import read_warc, write_warc
 
@@ -224,3 +225,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
