@@ -13,6 +13,7 @@ reader can fetch any run of ids without decoding the file.
     counts: blocks, documents, ids, start of the footer (u8 each)
 """
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -33,10 +34,12 @@ FILE_IDS = 1 << 26
 #: Share of a block's differences that the packed width must hold, in percent.
 WIDTH_PERCENTILE = 99.0
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 1_000_000
 
 _BLOCK_HEAD = struct.Struct("<IIII")
 _COUNTS = struct.Struct("<QQQQ")
+# Letters of the Latin alphabets up to U+024F, and ASCII punctuation after them.
+_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
 # Controls that Python's split takes for white space and the tokenizer does not.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -192,15 +195,20 @@ class IdReader:
 class WordEncoder:
     """Ids of texts by a tokenizer file, whose words are encoded by themselves.
 
-    Fit for tokenizers that split at white space and drop it; then the ids of a
-    text are those of its stretches without white space, one after the other.
+    Fit for tokenizers that lower-case, split at white space, drop it, and part
+    letters from punctuation, with a mark on the last piece of each part. Then the
+    ids of a text are those of its stretches without white space, one after the
+    other, and those of letters and punctuation after them are the ids of both.
     """
 
     _by_path: dict[str, "WordEncoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, word_end: str = "</w>"):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[n for token, n in vocabulary.items() if token.endswith(word_end)]] = True
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -214,6 +222,36 @@ class WordEncoder:
             for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters, encoded as one text and cut at word ends."""
+        found = []
+        for first in range(0, len(words), 1000):
+            part = words[first : first + 1000]
+            ids = np.frombuffer(self._encode([" ".join(part)])[0], "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) != len(part):
+                found += self._encode(part)
+                continue
+            data = ids.tobytes()
+            found += [data[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends)]
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        known, others, plain = self.known, [], []
+        for word in words:
+            match = _LETTERS.fullmatch(word)
+            if match is None:
+                others.append(word)
+            else:
+                plain.append((word, match[1].lower(), match[2]))
+        cores = list({core for _, core, _ in plain if core not in known})
+        known.update(zip(cores, self._encode_letters(cores)))
+        stops = list({stop for _, _, stop in plain if stop and stop not in known})
+        known.update(zip(stops, self._encode(stops)))
+        for word, core, stop in plain:
+            known[word] = known[core] + known[stop] if stop else known[core]
+        known.update(zip(others, self._encode(others)))
+
     def ids(self, text: str) -> np.ndarray:
         if any(control in text for control in _NOT_SPACE):
             return np.frombuffer(self._encode([text])[0], "<u4")
@@ -221,10 +259,10 @@ class WordEncoder:
         known = self.known
         missing = [word for word in set(words) if word not in known]
         if missing:
-            if len(known) + len(missing) > REMEMBERED_WORDS:
+            if len(known) + 2 * len(missing) > REMEMBERED_WORDS:
                 known.clear()
                 missing = list(set(words))
-            known.update(zip(missing, self._encode(missing)))
+            self._learn(missing)
         return np.frombuffer(b"".join([known[word] for word in words]), "<u4")
 
 
