@@ -11,6 +11,7 @@ from .byte_bpe import decode_documents, encode_documents
 from .chat import format_conversations, read_back
 from .common import work_path
 from .decontamination import contaminated
+from .jaccard_join import similar_documents
 from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
 from .repeated_strings import remove_repeated
@@ -233,3 +234,8 @@ def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
