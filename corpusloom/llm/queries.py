@@ -12,6 +12,7 @@ from .chat import format_conversations, read_back
 from .common import work_path
 from .decontamination import contaminated
 from .jaccard_join import similar_documents
+from .line_dedup import dedup_lines
 from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
 from .repeated_strings import remove_repeated
@@ -239,3 +240,9 @@ def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed_lines", "removed_chars")
