@@ -33,7 +33,7 @@ from .common import (
 LENGTH = 100
 GRAM = 32
 #: A gram is hot if it stands in at least this share of the sampled documents.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.01
 HOT_LEAST = 8
 #: One document of so many, by a hash of its id, tells which grams are hot. This only
 #: decides how rows are dealt to tasks.
