@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..plans import shared_dir
 
 #: Bytes of text that one step of array work covers; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Word separators: space and the controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
