@@ -22,6 +22,18 @@ LINE_PERCENT = 10
 #: A document is depleted if boilerplate lines hold more than this share of its words.
 MAX_REMOVED_PERCENT = 80
 
+RULE_COLUMNS = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "base_failed",
+    "n_removed_lines",
+    "removed_words",
+    "clean_text",
+    "kept",
+)
 #: Stands for the document itself among its line hashes.
 _DOCUMENT = 0
 
@@ -154,7 +166,7 @@ def quality_rules(
     keep = lambda line: ~line.rlike(WORD) | ~boilerplate(line)
     rest = F.array_join(F.filter(lines, keep), "\n")
     depleted = F.col("removed_words") * 100 > F.col("n_words") * max_removed_percent
-    return (
+    found = (
         base_statistics(joined, text_col)
         .withColumn("_removed", F.coalesce(removed, F.array().cast("array<string>")))
         .withColumn("n_removed_lines", F.size("_removed").cast("long"))
@@ -164,5 +176,9 @@ def quality_rules(
             F.when(F.col("n_removed_lines") > 0, rest).otherwise(F.col(text_col)),
         )
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("_host", "frequent", "_removed")
     )
+    # Exploding one struct keeps the optimizer from putting the expressions of these
+    # columns in the place of every reference to them, as it does for a filter.
+    own = [F.col(name) for name in docs.columns if name not in RULE_COLUMNS]
+    made = F.explode(F.array(F.struct(*RULE_COLUMNS)))
+    return found.select(*own, made.alias("_rules")).select(*own, "_rules.*")
