@@ -19,6 +19,7 @@ from .common import work_path, work_table
 from .files import attempt_name, open_output
 
 VERSION = b"WARC/1."
+_MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 GZIP_START = b"\x1f\x8b\x08"
 #: An archive is closed at the first record end after so many bytes.
 FILE_BYTES = 16 << 20
@@ -86,7 +87,11 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         name, colon, value = line.partition(":")
         if not colon:
             raise ValueError("header without a colon")
+        if any(char < " " and char != "\t" for char in line):
+            raise ValueError("control character in a header")
         headers[name.strip().lower()] = value.strip()
+    if not all(headers.get(name) for name in _MANDATORY):
+        raise ValueError("a mandatory header is missing")
     length = headers.get("content-length", "")
     if not length.isdigit():
         raise ValueError("no content length")
