@@ -6,7 +6,7 @@ from ..functions import url_host
 from ..operators.analysis import analyze
 from ..operators.documents import build_documents, html_to_markdown_job
 from ..operators.enrich import embed, embed_default, enrich
-from ..operators.links import crawl, crawl_frontier, extract_links
+from ..operators.links import crawl, crawl_frontier, extract_links, pages_in_frontier
 from ..operators.variants import prefer_markdown_variant
 from . import registry as r
 from .registry import documents_table, pages_table, query, table
@@ -176,6 +176,25 @@ def crawl_pages(spark, sf_dir):
     return reached.select("seed_url", "url", F.md5("body").alias("body"), "depth")
 
 
+@query(
+    """
+    SELECT p.page_id, p.url, md5(html) AS body FROM pages p
+    WHERE page_id % 5 <> 0 AND regexp_replace(url, '(?s)#.*$', '') IN (
+        SELECT regexp_replace(url, '(?s)#.*$', '') FROM pages WHERE page_id % 2 = 0)
+    """,
+    name="pages_in_frontier",
+)
+def visited_pages(spark, sf_dir):
+    """Every second page was visited, with another fragment; every fifth failed."""
+    pages = pages_table(spark, sf_dir)
+    seen = pages.where(F.col("page_id") % 2 == 0).select(
+        F.concat(F.regexp_replace("url", r"(?s)#.*\z", ""), F.lit("#seen")).alias("url")
+    )
+    status = F.when(F.col("page_id") % 5 == 0, 404).otherwise(200)
+    found = pages_in_frontier(pages.withColumn("status", status), seen)
+    return found.select("page_id", "url", F.md5("body").alias("body"))
+
+
 @query(
     f"""
     WITH twins AS (
@@ -296,28 +315,25 @@ def _make_text_model():
 @query(
     """
     SELECT doc_id AS id,
-           CASE WHEN lang = 'de' OR strlen(text) > 20000 THEN NULL
-                ELSE source || '|lines ' || (len(string_split(text, chr(10)))) END AS tags,
-           CASE WHEN lang = 'de' OR strlen(text) > 20000 THEN NULL
-                ELSE length(text) || ' characters' END AS summary,
-           strlen(text) > 20000 AS is_long
+           CASE WHEN lang <> 'de' THEN source || '|lines ' || len(string_split(text, chr(10))) END
+               AS tags,
+           CASE WHEN lang <> 'de' THEN length(text) || ' characters' END AS summary,
+           CASE WHEN lang = 'de' THEN 'ValueError: no title' END AS error
     FROM documents
     """,
     name="enrich",
 )
 def enrich_with_model(spark, sf_dir):
-    """A model that fails for documents without a title; long ones are cut before
-    it sees them and are compared on that fact only."""
-    long = F.octet_length("content") > 20_000
+    """A model that fails for documents without a title."""
     documents = documents_table(spark, sf_dir).withColumn(
         "title", F.when(F.col("lang") == "de", F.lit("")).otherwise(F.col("source"))
     )
     enriched = enrich(documents, _make_text_model)
     return enriched.select(
         "id",
-        F.when(~long, F.array_join("tags", "|")).alias("tags"),
-        F.when(~long, F.col("summary")).alias("summary"),
-        long.alias("is_long"),
+        F.array_join("tags", "|").alias("tags"),
+        "summary",
+        F.col("enrich_error").alias("error"),
     )
 
 
@@ -336,35 +352,51 @@ def _make_embedding_model():
 @query(
     """
     WITH m AS (
-        SELECT doc_id, least(strlen(text), 20000) AS n, len(string_split(text, chr(10))) - 1 AS breaks,
-               strlen(text) <= 20000 AS whole
+        SELECT doc_id, strlen(text) AS n, len(string_split(text, chr(10))) - 1 AS breaks
         FROM documents
     )
     SELECT doc_id AS id,
-           CASE WHEN whole AND breaks % 2 = 0 THEN n::FLOAT || ' ' || breaks::FLOAT END AS embedding,
-           CASE WHEN whole AND breaks % 2 = 1 THEN 'embedding: expected 2 values, got 3' END AS error
+           CASE WHEN breaks % 2 = 0 THEN n::FLOAT || ' ' || breaks::FLOAT END AS embedding,
+           CASE WHEN breaks % 2 = 1 THEN 'embedding: expected 2 values, got 3' END AS error
     FROM m
     """,
     name="embed",
 )
 def embed_with_model(spark, sf_dir):
     """A model whose vectors have a wrong size for some texts."""
-    whole = F.octet_length("content") <= 20_000
     embedded = embed(documents_table(spark, sf_dir), _make_embedding_model, dims=2)
     shown = F.array_join(F.transform("embedding", lambda x: x.cast("string")), " ")
     return embedded.select(
         "id",
-        F.when(whole, shown).alias("embedding"),
-        F.when(whole, F.col("embedding_error")).alias("error"),
+        shown.alias("embedding"),
+        F.col("embedding_error").alias("error"),
     )
 
 
 @query(
     f"""
-    SELECT doc_id AS id, CASE WHEN len({r.words('text')}) > 0 THEN 256 END AS dims FROM documents
+    WITH tokens AS (
+        SELECT doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 256 AS bucket
+        FROM (SELECT doc_id, unnest({r.words('text')}) AS word FROM documents)
+    ),
+    tf AS (SELECT doc_id, bucket, count(*) AS tf FROM tokens GROUP BY ALL),
+    idf AS (
+        SELECT bucket, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1)) AS idf
+        FROM tf GROUP BY bucket
+    ),
+    weights AS (SELECT doc_id, bucket, tf * idf AS w FROM tf JOIN idf USING (bucket)),
+    norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weights GROUP BY doc_id)
+    SELECT doc_id AS id, bucket::INTEGER AS bucket,
+           round((CASE WHEN norm > 0 THEN w / norm ELSE 0 END)::FLOAT::DOUBLE, 4) AS value
+    FROM weights JOIN norms USING (doc_id)
+    WHERE w <> 0
     """,
     name="embed_default",
 )
 def embed_by_hashing(spark, sf_dir):
+    """The values of each vector that are not zero."""
     embedded = embed_default(documents_table(spark, sf_dir), 256)
-    return embedded.select("id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dims"))
+    values = embedded.select("id", F.posexplode("embedding").alias("bucket", "value"))
+    return values.where("value <> 0").select(
+        "id", "bucket", F.round(F.col("value").cast("double"), 4).alias("value")
+    )

@@ -5,28 +5,41 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import document_id, scrape_prefix, url_host
+from ..operators.analysis import build_index
+from ..operators.bm25 import search_index
 from ..operators.manifests import attach_urls
 from ..operators.metrics import run_metrics, run_totals, split_errors
-from ..plans import shared_dir
 from ..schemas import DOCUMENT_SCHEMA
 from ..sinks import (
     compact_documents,
+    create_document_table,
+    drop_document_table,
     latest_by_id,
     manifest_rows,
+    open_index,
     read_document_table,
     stage_pages,
     upsert_documents,
+    write_index,
     write_manifests,
+    write_objects,
+)
+from ..sources import (
+    drop_http_errors,
+    pages_from_table,
+    scan_manifests,
+    scan_pages,
+    scan_staged_pages,
+    scan_staged_table,
 )
-from ..sources import scan_manifests, scan_staged_table
 from ..streaming import IngestOptions, ingest_prefix, stream_ingest
 from . import registry as r
-from .registry import documents_table, pages_table, query
+from .registry import documents_table, pages_table, query, table
 from .text import sql_html_title
 
 
 def _work_dir(spark) -> str:
-    return f"{shared_dir(spark)}/corpusloom-{uuid.uuid4().hex}"
+    return r.stored(spark, uuid.uuid4().hex)
 
 
 def _scraped(spark, sf_dir):
@@ -83,7 +96,7 @@ def urls_of_staged_files(spark, sf_dir):
                ((('0x' || substr(sha256(url), 1, 8))::BIGINT) % ceil(page_count / 5.0)::INT)::INT AS part
         FROM sized
     )
-    SELECT scrape_prefix, source_url, page_count::INT AS page_count, part, parts,
+    SELECT scrape_prefix, source_url, page_count, part, parts,
            string_agg(url, ' ' ORDER BY url) AS pages
     FROM parted GROUP BY ALL
     """,
@@ -238,6 +251,91 @@ def _ingested(spark, documents):
     )
 
 
+@query(
+    f"""
+    SELECT scrape_prefix, {r.document_id('url')} || '.md' AS file_name, md5(html) AS content
+    FROM ({_SQL_SCRAPED}) WHERE page_id % 3 <> 0
+    """
+)
+def scan_tree(spark, sf_dir):
+    """Pages as a tree of objects; every third has another suffix and is passed over."""
+    root = _work_dir(spark)
+    scraped = _scraped(spark, sf_dir)
+    suffix = F.when(F.col("page_id") % 3 == 0, ".txt").otherwise(".md")
+    rows = scraped.select(
+        F.concat(F.lit(f"{root}/"), "scrape_prefix", F.lit("/pages/"), document_id("url"), suffix),
+        "body",
+    )
+    write_objects(rows)
+    pages = scan_staged_pages(spark, root)
+    return pages.select("scrape_prefix", "file_name", F.md5("content").alias("content"))
+
+
+@query(
+    """
+    SELECT url, CASE WHEN page_id % 4 = 1 THEN 399 ELSE 200 END AS status, '' AS content_type,
+           md5(html) AS body, true AS no_time
+    FROM pages WHERE page_id % 4 <> 0
+    """
+)
+def scan_good_pages(spark, sf_dir):
+    """Fetched pages of any table, written and scanned, without failed responses."""
+    status = F.element_at(F.array(*map(F.lit, (400, 399, 200, 200))), F.col("page_id").cast("int") % 4 + 1)
+    pages = pages_from_table(table(spark, sf_dir, "pages"), body="html", status=status)
+    root = _work_dir(spark)
+    pages.write.parquet(root)
+    good = drop_http_errors(scan_pages(spark, root))
+    return good.select(
+        "url", "status", "content_type", F.md5("body").alias("body"), F.col("scraped_at").isNull().alias("no_time")
+    )
+
+
+@query("SELECT doc_id::VARCHAR AS id, 'v2 of ' || doc_id AS title FROM documents")
+def recreate_table(spark, sf_dir):
+    """A table that is dropped holds nothing of what was in it."""
+    root = _work_dir(spark)
+    first, second = _versions(spark, sf_dir)
+    upsert_documents(spark, first, root)
+    drop_document_table(spark, root)
+    create_document_table(spark, root)
+    upsert_documents(spark, second, root)
+    return read_document_table(spark, root).select("id", "title")
+
+
+@query(
+    f"""
+    SELECT {r.document_id('url')} AS id, 'found' AS outcome FROM ({_SQL_SCRAPED})
+    WHERE scrape_prefix <> (SELECT min(scrape_prefix) FROM ({_SQL_SCRAPED}))
+    UNION ALL SELECT min(scrape_prefix), 'no staged pages' FROM ({_SQL_SCRAPED})
+    """
+)
+def ingest_and_search(spark, sf_dir):
+    """Scrapes ingested by the stream are found in the table and in the index built from
+    it; the one whose pages are missing is reported and does not stop the others."""
+    root = _work_dir(spark)
+    scraped = _scraped(spark, sf_dir)
+    missing = scraped.agg(F.min("scrape_prefix")).first()[0]
+    stage_pages(scraped.where(F.col("scrape_prefix") != missing), root)
+    write_manifests(scraped, root)
+    results = []
+    stream = stream_ingest(
+        spark,
+        root,
+        f"{root}/table",
+        f"{root}/progress",
+        IngestOptions(layout="table"),
+        on_result=results.append,
+    )
+    stream.awaitTermination()
+    documents = read_document_table(spark, f"{root}/table")
+    write_index(build_index(documents.select("id", F.lit("ingested").alias("title"))), f"{root}/index")
+    hits = search_index(open_index(spark, f"{root}/index"), "ingested", documents.count())
+    failed = [row for result in results for row in result.failed]
+    return hits.select("id", F.lit("found").alias("outcome")).unionByName(
+        spark.createDataFrame(failed, "id string, outcome string")
+    )
+
+
 @query(_SQL_INGESTED, name="stream_ingest")
 def ingest_by_stream(spark, sf_dir):
     """Pages staged with their manifests, then ingested by the stream."""

@@ -1,11 +1,13 @@
 """Registration of named queries over the test tables."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import spread_scan
+from ..plans import shared_dir, spread_scan
+from ..sinks.versions import hadoop_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, what: str) -> str:
+    """A folder for what queries write once in an application and read many times.
+
+    It lies in the shared checkpoint folder and goes when the application ends.
+    """
+    context = spark.sparkContext
+    root = f"{shared_dir(spark).rstrip('/')}/corpusloom-{context.applicationId}"
+    if getattr(context, "_corpusloom_root", None) != root:
+        system, folder = hadoop_path(spark, root)
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        context._corpusloom_root = root
+    return f"{root}/{hashlib.sha256(what.encode()).hexdigest()[:16]}"
+
+
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fetched pages in the page schema, plus ``page_id``."""
     raw = spread_scan(table(spark, sf_dir, "pages"))

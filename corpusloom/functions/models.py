@@ -13,7 +13,8 @@ MODEL_DIMS = {
 }
 DEFAULT_DIMS = 768
 
-# Fixed value: bytes of content given to a model.
+# Fixed value: bytes of content that a model of limited input is given; callers pass
+# it as ``max_bytes``.
 MODEL_INPUT_BYTES = 20_000
 
 
@@ -24,10 +25,17 @@ def embedding_dims(model: Column | str) -> Column:
     )
 
 
-def enrichment_prompts(title: Column | str, content: Column | str) -> Column:
+def model_input(content: Column | str, max_bytes: int | None) -> Column:
+    """The content a model gets: all of it, or its first ``max_bytes`` bytes."""
+    return as_column(content) if max_bytes is None else truncate_bytes(content, max_bytes)
+
+
+def enrichment_prompts(
+    title: Column | str, content: Column | str, max_bytes: int | None = None
+) -> Column:
     """``struct(tags_prompt, summary_prompt)`` for one document."""
     title = as_column(title)
-    body = truncate_bytes(content, MODEL_INPUT_BYTES)
+    body = model_input(content, max_bytes)
 
     def prompt(task: str) -> Column:
         return F.concat(

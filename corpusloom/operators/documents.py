@@ -34,12 +34,14 @@ def build_documents(
     make_text_model: Callable[[], TextModel] | None = None,
     make_embedding_model: Callable[[], EmbeddingModel] | None = None,
     dims: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Document columns plus ``error`` (null when the page was processed).
 
     One scan: Markdown bodies pass through, only the others are handed to the
     converter. A stage without a model is not part of the plan; its columns are
-    null. Split the result with ``split_errors``.
+    null. Models see the content whole, or its first ``max_bytes`` bytes; a failed
+    call leaves its columns null and is no error of the page. Split the result with ``split_errors``.
     """
     flagged = pages.withColumn("_md", detect_markdown("url", "content_type", "body"))
     converted = flagged.withColumn(
@@ -57,15 +59,15 @@ def build_documents(
         F.col("_html.error").alias("error"),
     )
     if make_text_model is not None:
-        documents = enrich(documents, make_text_model)
+        documents = enrich(documents, make_text_model, max_bytes=max_bytes)
     if make_embedding_model is not None:
-        documents = embed(documents, make_embedding_model)
+        documents = embed(documents, make_embedding_model, max_bytes=max_bytes)
     for name in OPTIONAL_FIELDS:
         if name not in documents.columns:
             documents = documents.withColumn(
                 name, F.lit(None).cast(DOCUMENT_SCHEMA[name].dataType)
             )
     if dims is not None:
-        checked = check_dims(documents, dims)
+        checked = check_dims(documents.drop("embedding_error"), dims)
         documents = checked.withColumn("error", F.coalesce("error", "embedding_error"))
     return documents.select(*DOCUMENT_SCHEMA.names, "error")

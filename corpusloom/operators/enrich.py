@@ -4,15 +4,15 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import parse_tags, trim_ws, truncate_bytes
-from ..functions.models import DEFAULT_DIMS, MODEL_INPUT_BYTES
-from ..plans import hot_keys, salted_join
+from ..functions import parse_tags, trim_ws
+from ..functions.models import DEFAULT_DIMS, model_input
+from ..plans import broadcast_if_bounded, cut_lineage, hot_keys, salted_join
 from .analysis import STANDARD, analyze, build_postings
 
 TAGS_PER_DOCUMENT = 15
@@ -23,27 +23,34 @@ TextModel = Callable[[Sequence[str], Sequence[str]], Sequence[tuple[str, str]]]
 EmbeddingModel = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 _ANSWER = T.StructType(
-    [T.StructField("tags", T.StringType()), T.StructField("summary", T.StringType())]
+    [
+        T.StructField("tags", T.StringType()),
+        T.StructField("summary", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+_VECTOR = T.StructType(
+    [T.StructField("vector", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())]
 )
 
 
-def _answers(model, rows: list[tuple], nothing):
-    """Ask for a whole batch; if that fails, row by row, so that one bad document
-    costs only its own answer."""
+def _answers(model, rows: list[tuple]) -> list[tuple]:
+    """(answer, error) per row. A whole batch is asked for at once; if that fails, row
+    by row, so that one bad document costs only its own answer."""
     if not rows:
         return []
     try:
         answers = list(model(*map(list, zip(*rows))))
         if len(answers) == len(rows):
-            return answers
+            return [(answer, None) for answer in answers]
     except Exception:
-        pass
+        pass  # each row is asked for by itself below, and keeps its own reason
     out = []
     for row in rows:
         try:
-            out.append(list(model(*[[value] for value in row]))[0])
-        except Exception:
-            out.append(nothing)
+            out.append((list(model(*[[value] for value in row]))[0], None))
+        except Exception as error:
+            out.append((None, f"{type(error).__name__}: {error}"))
     return out
 
 
@@ -52,23 +59,26 @@ def enrich(
     make_model: Callable[[], TextModel],
     title_col: str = "title",
     content_col: str = "content",
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Set ``tags`` and ``summary`` from a model made once per partition.
 
-    The model sees the title and the first ``MODEL_INPUT_BYTES`` bytes of content.
-    A document whose call fails keeps both empty. Only the two texts cross to
-    Python; all other columns stay in the JVM.
+    The model sees the title and the content, cut to ``max_bytes`` bytes if given.
+    A document whose call fails keeps both empty and has the reason in
+    ``enrich_error``. Only the two texts cross to Python; all other columns stay in
+    the JVM.
     """
 
     @F.pandas_udf(_ANSWER)
     def ask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = make_model()
         for titles, contents in batches:
-            answers = _answers(model, list(zip(titles, contents)), (None, None))
-            yield pd.DataFrame(answers, columns=_ANSWER.names, index=titles.index)
+            answers = _answers(model, list(zip(titles, contents)))
+            rows = [(*(found or (None, None)), error) for found, error in answers]
+            yield pd.DataFrame(rows, columns=_ANSWER.names, index=titles.index)
 
     answered = documents.withColumn(
-        "_answer", ask(F.col(title_col), truncate_bytes(content_col, MODEL_INPUT_BYTES))
+        "_answer", ask(F.col(title_col), model_input(content_col, max_bytes))
     )
     complete = F.col("_answer.tags").isNotNull() & F.col("_answer.summary").isNotNull()
     tags = parse_tags("_answer.tags")
@@ -76,6 +86,7 @@ def enrich(
         {
             "tags": F.when(complete & (F.size(tags) > 0), tags),
             "summary": F.when(complete, F.nullif(trim_ws("_answer.summary"), F.lit(""))),
+            "enrich_error": F.col("_answer.error"),
         }
     ).drop("_answer")
 
@@ -92,12 +103,17 @@ def tfidf_tags(
     frequencies with partial aggregation; the join of both salts the terms that
     occur in very many documents.
     """
-    postings = build_postings(documents, {content_col: STANDARD}, id_col).select(
-        "id", "term", "tf"
+    # The text is tokenized once: frequencies and weights read the written postings.
+    postings = cut_lineage(
+        build_postings(documents, {content_col: STANDARD}, id_col).select("id", "term", "tf")
     )
-    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    hot = hot_keys(counts, ["term"], "df")
-    weighted = salted_join(postings, counts.hint("shuffle_hash"), ["term"], ["id"], hot)
+    counts = cut_lineage(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    small, bounded = broadcast_if_bounded(counts)
+    if bounded:
+        weighted = postings.join(small, "term")
+    else:
+        hot = hot_keys(counts, ["term"], "df")
+        weighted = salted_join(postings, counts.hint("shuffle_hash"), ["term"], ["id"], hot)
     total = documents.count()
     weight = F.round(F.col("tf") * F.ln(F.lit(float(total)) / F.col("df")), 9)
     window = Window.partitionBy("id").orderBy(F.desc("weight"), "term")
@@ -133,22 +149,27 @@ def embed(
     make_model: Callable[[], EmbeddingModel],
     dims: int | None = None,
     content_col: str = "content",
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Set ``embedding`` from a model made once per partition.
 
-    A failed call leaves null. With ``dims`` a vector of another size is set to
+    The model sees the content, cut to ``max_bytes`` bytes if given. A failed call
+    leaves null and its reason in ``embedding_error``. With ``dims`` a vector of another size is set to
     null too and ``embedding_error`` says so.
     """
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(_VECTOR)
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = make_model()
         for texts in batches:
-            answers = _answers(model, [(t,) for t in texts], None)
-            yield pd.Series(answers, index=texts.index, dtype=object)
+            answers = _answers(model, [(t,) for t in texts])
+            yield pd.DataFrame(answers, columns=_VECTOR.names, index=texts.index)
 
-    vector = ask(truncate_bytes(content_col, MODEL_INPUT_BYTES))
-    return check_dims(documents.withColumn("embedding", vector), dims)
+    answered = documents.withColumn("_answer", ask(model_input(content_col, max_bytes)))
+    embedded = answered.withColumns(
+        {"embedding": F.col("_answer.vector"), "embedding_error": F.col("_answer.error")}
+    ).drop("_answer")
+    return check_dims(embedded, dims)
 
 
 def check_dims(documents: DataFrame, dims: int | None) -> DataFrame:
@@ -157,20 +178,33 @@ def check_dims(documents: DataFrame, dims: int | None) -> DataFrame:
         return documents
     wrong = F.col("embedding").isNotNull() & (F.size("embedding") != dims)
     message = F.concat(F.lit(f"embedding: expected {dims} values, got "), F.size("embedding"))
-    return documents.withColumn("embedding_error", F.when(wrong, message)).withColumn(
-        "embedding", F.when(~wrong, F.col("embedding"))
-    )
+    known = F.col("embedding_error") if "embedding_error" in documents.columns else F.lit(None)
+    return documents.withColumn(
+        "embedding_error", F.when(wrong, message).otherwise(known.cast("string"))
+    ).withColumn("embedding", F.when(~wrong, F.col("embedding")))
 
 
 def embed_default(
-    documents: DataFrame, dims: int = DEFAULT_DIMS, content_col: str = "content"
+    documents: DataFrame,
+    dims: int = DEFAULT_DIMS,
+    content_col: str = "content",
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Hashed tf-idf vectors of unit length, all in the JVM."""
-    text = truncate_bytes(content_col, MODEL_INPUT_BYTES)
-    tokens = documents.withColumn("_tokens", analyze(text, STANDARD))
+    """Hashed tf-idf vectors of unit length, all in the JVM.
+
+    A token falls into the bucket of its MD5 digest's first eight hex digits.
+    """
+    words = analyze(model_input(content_col, max_bytes), STANDARD)
+    bucket = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dims
+    tokens = documents.withColumn(
+        "_tokens", F.transform(words, lambda w: bucket(w).cast("string"))
+    )
+    buckets = CountVectorizerModel.from_vocabulary(
+        [str(n) for n in range(dims)], inputCol="_tokens", outputCol="_tf"
+    )
     stages = Pipeline(
         stages=[
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dims),
+            buckets,
             IDF(inputCol="_tf", outputCol="_idf"),
             Normalizer(inputCol="_idf", outputCol="_unit"),
         ]

@@ -7,7 +7,6 @@ from ..functions import absolute_url, url_host
 from ..plans import cut_lineage, first_per_key, salted_join
 from ..sources.pages import drop_http_errors
 
-MAX_ROUNDS = 50
 _VALUE = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 ANCHOR = rf"(?is)<a\s(?:[^>]*?\s)?{_VALUE}"
 ANCHOR_HREF = rf"(?is)\s{_VALUE}\z"
@@ -49,8 +48,9 @@ def crawl_frontier(
     """``seed_url, url, depth`` of every URL reached from a seed.
 
     Breadth first: a seed has depth 1 and a URL its least depth; a fragment does
-    not make a URL new. ``max_depth`` 0 goes on until nothing new is found, for
-    at most ``MAX_ROUNDS`` rounds. Links are followed on the seed's host only.
+    not make a URL new. ``max_depth`` 0 goes on until nothing new is found, which
+    the anti join with what was visited brings about. Links are followed on the
+    seed's host only.
     Every round joins the newest URLs with the edges, keeps the unseen ones and
     is cut from its lineage by a checkpoint.
     """
@@ -73,8 +73,9 @@ def crawl_frontier(
         .agg(F.min("dst_url").alias("dst_url"))
     )
     visited = frontier = cut_lineage(frontier)
-    last_depth = max_depth if max_depth else MAX_ROUNDS
-    for depth in range(2, last_depth + 1):
+    depth = 1
+    while max_depth == 0 or depth < max_depth:
+        depth += 1
         # A page that very many seeds reach is split by seed.
         reached = (
             salted_join(frontier.select("seed_url", "key"), links, ["key"], ["seed_url"])

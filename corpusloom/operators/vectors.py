@@ -1,21 +1,25 @@
 """Nearest neighbours by cosine similarity."""
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..plans import cut_lineage
 from .bm25 import DEFAULT_LIMIT, SCORE_DIGITS, check_limit, top_per_query
 
+#: Queries that one scan of the vectors carries.
 QUERIES_PER_BLOCK = 1024
-CELL_BYTES = 128 << 20
-_ARROW_TYPES = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+#: Bytes of scores (rows * queries * 8) that a task holds at once.
+SCORE_BYTES = 32 << 20
+#: Rows, chosen by a hash of their id, from which the cells of an index are learned.
+TRAINING_ROWS = 20_000
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -34,6 +38,11 @@ class _TopPerQuery:
         self.best = [(np.empty(0), np.empty(0, dtype=object)) for _ in query_ids]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(1, SCORE_BYTES // (8 * max(1, len(self.best))))
+        for first in range(0, len(ids), step):
+            self._add(ids[first : first + step], vectors[first : first + step])
+
+    def _add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         scores = np.round(_unit_rows(vectors) @ self.unit_queries.T, SCORE_DIGITS)
         for q, (best_scores, best_ids) in enumerate(self.best):
             column = scores[:, q]
@@ -58,7 +67,7 @@ class _TopPerQuery:
 
 
 def _scan(
-    vectors: DataFrame, query_ids: list, query_type: str, matrix: np.ndarray, limit: int
+    vectors: DataFrame, query_ids: list, query_type: T.DataType, matrix: np.ndarray, limit: int
 ) -> DataFrame:
     """One pass over ``id, vector`` with a bounded block of queries at hand.
 
@@ -69,8 +78,8 @@ def _scan(
     id_type = vectors.schema["id"].dataType.simpleString()
     result = pa.schema(
         [
-            ("query_id", _ARROW_TYPES[query_type]),
-            ("id", _ARROW_TYPES[id_type]),
+            ("query_id", to_arrow_type(query_type)),
+            ("id", to_arrow_type(vectors.schema["id"].dataType)),
             ("score", pa.float64()),
         ]
     )
@@ -85,44 +94,7 @@ def _scan(
                 top.add(ids, flat.reshape(batch.num_rows, -1))
         yield pa.RecordBatch.from_pydict(top.hits(), schema=result)
 
-    return vectors.mapInArrow(scan, f"query_id {query_type}, id {id_type}, score double")
-
-
-def _cells(vectors: DataFrame, queries: DataFrame, dims: int, n_queries: int, limit: int):
-    """Exact search for a query table too large for one block.
-
-    Vectors and queries are hashed into cells of bounded size and every pair of
-    cells is one task that returns its best hits only.
-    """
-    per_cell = max(CELL_BYTES // (4 * dims), 1)
-    n_blocks = -(-n_queries // QUERIES_PER_BLOCK)
-    n_cells = max(-(-vectors.count() // per_cell), 1)
-
-    def spread(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(*df.columns), F.lit(n_own))).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
-
-    left = spread(vectors, "_cell", n_cells, "_block", n_blocks)
-    right = spread(queries, "_block", n_blocks, "_cell", n_cells)
-    query_type = queries.schema["query_id"].dataType.simpleString()
-    id_type = vectors.schema["id"].dataType.simpleString()
-
-    def best(vector_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
-        if vector_rows.empty or query_rows.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        top = _TopPerQuery(
-            query_rows["query_id"].tolist(), np.stack(query_rows["query_embedding"]), limit
-        )
-        top.add(vector_rows["id"].to_numpy(), np.stack(vector_rows["vector"]))
-        return pd.DataFrame(top.hits())
-
-    keys = ["_cell", "_block"]
-    return (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(best, f"query_id {query_type}, id {id_type}, score double")
-    )
+    return vectors.mapInArrow(scan, f"query_id {query_type.simpleString()}, id {id_type}, score double")
 
 
 def _usable(documents: DataFrame, dims: int, id_col: str, vector_col: str) -> DataFrame:
@@ -148,7 +120,7 @@ def knn(
     if limit == 0:
         return usable.select(F.lit(0).alias("rank"), "id", F.lit(0.0).alias("score")).limit(0)
     matrix = np.asarray([vector], dtype=np.float64)
-    found = _scan(usable, ["q"], "string", matrix, limit)
+    found = _scan(usable, ["q"], T.StringType(), matrix, limit)
     top = found.orderBy(F.desc("score"), "id").limit(limit)
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return top.withColumn("rank", F.row_number().over(window)).select("rank", "id", "score")
@@ -163,8 +135,8 @@ def knn_many(
 ) -> DataFrame:
     """``query_id, rank, id, score`` for every row of ``queries`` with a vector."""
     check_limit(limit)
-    queries = queries.where(F.col("query_embedding").isNotNull()).select(
-        "query_id", "query_embedding"
+    queries = cut_lineage(
+        queries.where(F.col("query_embedding").isNotNull()).select("query_id", "query_embedding")
     )
     n_queries, dims, max_dims = queries.agg(
         F.count(F.lit(1)), F.min(F.size("query_embedding")), F.max(F.size("query_embedding"))
@@ -172,7 +144,7 @@ def knn_many(
     if dims != max_dims:
         raise ValueError("query vectors differ in size")
     usable = _usable(documents, dims or 0, id_col, vector_col)
-    query_type = queries.schema["query_id"].dataType.simpleString()
+    query_type = queries.schema["query_id"].dataType
     if limit == 0 or n_queries == 0:
         return usable.select(
             F.lit(None).cast(query_type).alias("query_id"),
@@ -180,50 +152,113 @@ def knn_many(
             "id",
             F.lit(0.0).alias("score"),
         ).limit(0)
-    if n_queries <= QUERIES_PER_BLOCK:
-        rows = queries.collect()
-        matrix = np.array([r["query_embedding"] for r in rows], dtype=np.float64)
-        found = _scan(usable, [r["query_id"] for r in rows], query_type, matrix, limit)
-    else:
-        found = _cells(usable, queries, dims, n_queries, limit)
+    # Each block of queries is one scan; blocks are bounded whatever their number.
+    n_blocks = -(-n_queries // QUERIES_PER_BLOCK)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    found = None
+    for number in range(n_blocks):
+        rows = queries.where(block == number).collect() if n_blocks > 1 else queries.collect()
+        if rows:
+            matrix = np.array([r["query_embedding"] for r in rows], dtype=np.float64)
+            hits = _scan(usable, [r["query_id"] for r in rows], query_type, matrix, limit)
+            found = hits if found is None else found.unionByName(hits)
     return top_per_query(found, limit).select("query_id", "rank", "id", "score")
 
 
-def knn_approx(
+@dataclass(frozen=True)
+class VectorIndex:
+    """``vectors`` (``id, vector, cell``), the unit centre and the size of each cell.
+
+    Written with :func:`write_vector_index`, ``vectors`` is partitioned by ``cell``, so
+    that a search reads the partitions of its cells only.
+    """
+
+    vectors: DataFrame
+    centres: np.ndarray
+    sizes: np.ndarray
+
+
+def _nearest_cell(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.nan_to_num(_unit_rows(vectors) @ centres.T, nan=-2.0).argmax(axis=1)
+
+
+def build_vector_index(
     documents: DataFrame,
-    vector: Sequence[float],
-    limit: int = DEFAULT_LIMIT,
-    candidates: int | None = None,
+    dims: int,
+    n_cells: int = 64,
     id_col: str = "id",
     vector_col: str = "embedding",
-    bucket_length: float = 1.0,
-    hash_tables: int = 8,
-    seed: int = 7,
+    rounds: int = 8,
+) -> VectorIndex:
+    """Put every vector into the cell of its nearest centre.
+
+    The centres are learned (spherical k-means) from at most ``TRAINING_ROWS`` rows;
+    every row is indexed.
+    """
+    usable = _usable(documents, dims, id_col, vector_col)
+    sample = usable.orderBy(F.xxhash64("id"), "id").limit(TRAINING_ROWS).select("vector")
+    rows = _unit_rows(np.array([r[0] for r in sample.collect()], dtype=np.float64).reshape(-1, dims))
+    rows = rows[~np.isnan(rows).any(axis=1)]
+    centres = rows[:: max(1, len(rows) // n_cells)][:n_cells]
+    centres = centres if len(centres) else np.zeros((1, dims))
+    for _ in range(rounds):
+        cell = _nearest_cell(rows, centres)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, rows)
+        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(lengths > 0, sums / np.maximum(lengths, 1e-12), centres)
+
+    @F.pandas_udf("int")
+    def cell_of(vectors: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype="int32")
+        return pd.Series(_nearest_cell(np.stack(vectors), centres).astype("int32"))
+
+    vectors = cut_lineage(usable.withColumn("cell", cell_of("vector")))
+    counted = vectors.groupBy("cell").count().collect()
+    sizes = np.zeros(len(centres), dtype=np.int64)
+    for row in counted:
+        sizes[row["cell"]] = row["count"]
+    return VectorIndex(vectors, centres, sizes)
+
+
+def write_vector_index(index: VectorIndex, root: str) -> None:
+    spark = index.vectors.sparkSession
+    index.vectors.hint("rebalance", "cell").write.partitionBy("cell").mode("overwrite").parquet(
+        f"{root}/vectors"
+    )
+    cells = [(n, c.tolist(), int(s)) for n, (c, s) in enumerate(zip(index.centres, index.sizes))]
+    schema = "number int, centre array<double>, size long"
+    spark.createDataFrame(cells, schema).coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/cells"
+    )
+
+
+def open_vector_index(spark: SparkSession, root: str) -> VectorIndex:
+    cells = sorted(spark.read.parquet(f"{root}/cells").collect())
+    return VectorIndex(
+        spark.read.parquet(f"{root}/vectors"),
+        np.array([row["centre"] for row in cells]),
+        np.array([row["size"] for row in cells]),
+    )
+
+
+def knn_approx(
+    index: VectorIndex,
+    vector: Sequence[float],
+    limit: int = DEFAULT_LIMIT,
+    n_probe: int = 8,
 ) -> DataFrame:
-    """Candidates by locality-sensitive hashing, ranked by exact similarity.
+    """``rank, id, score`` of the nearest vectors in the ``n_probe`` nearest cells.
 
-    On unit vectors Euclidean and cosine order agree. ``candidates`` defaults to
-    twice the limit.
+    Scores are exact. Further cells are read until those read hold ``limit`` vectors,
+    so that the result is as long as that of :func:`knn`.
     """
     check_limit(limit)
-    candidates = 2 * limit if candidates is None else candidates
-    usable = _usable(documents, len(vector), id_col, vector_col)
-    if candidates < 1:
-        return knn(documents, vector, 0, id_col, vector_col)
-    normalizer = Normalizer(inputCol="_raw", outputCol="_unit")
-    # Filters may be evaluated in any order, so the conversion guards itself against
-    # the rows that the filter in ``usable`` drops.
-    zero = F.array_repeat(F.lit(0.0).cast("float"), len(vector))
-    sized = F.when(F.size("vector") == len(vector), F.col("vector")).otherwise(zero)
-    unit = normalizer.transform(usable.withColumn("_raw", array_to_vector(sized)))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_unit",
-        outputCol="_hashes",
-        bucketLength=bucket_length,
-        numHashTables=hash_tables,
-        seed=seed,
-    )
-    key = np.asarray(vector, dtype=np.float64)
-    key = key / np.linalg.norm(key)
-    near = lsh.fit(unit).approxNearestNeighbors(unit, DenseVector(key), candidates)
-    return knn(near.select("id", "vector"), vector, limit, "id", "vector")
+    key = _unit_rows(np.asarray([vector], dtype=np.float64))[0]
+    order = np.argsort(-np.nan_to_num(index.centres @ key), kind="stable")
+    held = np.cumsum(index.sizes[order])
+    needed = int(np.searchsorted(held, min(limit, held[-1]))) + 1
+    cells = order[: max(n_probe, needed)].tolist()
+    near = index.vectors.where(F.col("cell").isin(*cells))
+    return knn(near, vector, limit, "id", "vector")

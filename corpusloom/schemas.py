@@ -24,7 +24,7 @@ MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("source_url", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
-        T.StructField("page_count", T.IntegerType()),
+        T.StructField("page_count", T.LongType()),
         T.StructField("pages", T.ArrayType(T.StringType())),
         T.StructField("scrape_prefix", T.StringType()),
         T.StructField("part", T.IntegerType()),

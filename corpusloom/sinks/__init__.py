@@ -2,7 +2,7 @@
 
 from .hits import hits_preview, hits_to_json
 from .index import compact_index, open_index, update_index, write_index
-from .staging import manifest_rows, stage_pages, write_manifests
+from .staging import manifest_rows, stage_pages, write_manifests, write_objects
 from .table import (
     compact_documents,
     create_document_table,
@@ -28,4 +28,5 @@ __all__ = [
     "upsert_documents",
     "write_index",
     "write_manifests",
+    "write_objects",
 ]

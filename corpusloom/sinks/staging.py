@@ -1,6 +1,9 @@
 """Staged pages and their manifests."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import document_id
@@ -37,6 +40,26 @@ def stage_pages(pages: DataFrame, root: str) -> None:
     )
 
 
+def write_objects(objects: DataFrame) -> None:
+    """Write rows of (URI, text) as one object each; tasks write what they hold.
+
+    A repeated attempt of a task writes the same objects again.
+    """
+
+    def write(rows: Iterator[Row]) -> None:
+        made = set()
+        for uri, text in rows:
+            system, path = fs.FileSystem.from_uri(uri)
+            folder = path.rsplit("/", 1)[0]
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            with system.open_output_stream(path, compression=None) as stream:
+                stream.write((text or "").encode())
+
+    objects.foreachPartition(write)
+
+
 def manifest_rows(pages: DataFrame, max_pages: int = PAGES_PER_MANIFEST_ROW) -> DataFrame:
     """Manifest rows of scraped pages (``scrape_prefix, source_url, url, scraped_at``).
 
@@ -46,7 +69,7 @@ def manifest_rows(pages: DataFrame, max_pages: int = PAGES_PER_MANIFEST_ROW) ->
     scrapes = pages.groupBy("scrape_prefix").agg(
         F.min("source_url").alias("source_url"),
         F.max("scraped_at").alias("timestamp"),
-        F.count(F.lit(1)).cast("int").alias("page_count"),
+        F.count(F.lit(1)).alias("page_count"),
     )
     hot = hot_keys(scrapes, ["scrape_prefix"], "page_count", max_pages, max_splits=2**31 - 1)
     url_hash = F.conv(F.substring(document_id("url"), 1, 8), 16, 10).cast("bigint")
@@ -62,9 +85,13 @@ def manifest_rows(pages: DataFrame, max_pages: int = PAGES_PER_MANIFEST_ROW) ->
 
 
 def write_manifests(pages: DataFrame, root: str, max_pages: int = PAGES_PER_MANIFEST_ROW) -> None:
-    """Write the manifests; call it after ``stage_pages``, as the commit mark."""
+    """Write the manifests; call it after ``stage_pages``, as the commit mark.
+
+    All rows of a scrape stand in one file, so that a stream gets them in one batch.
+    """
     (
         manifest_rows(pages, max_pages)
+        .repartition("scrape_prefix")
         .write.mode("append")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .json(f"{root}/manifests")

@@ -3,20 +3,19 @@
 A table is a folder of numbered versions. ``base-N`` holds every document up to
 version N, ``delta-N`` the documents changed by version N. Spark's ``_SUCCESS``
 file marks a finished version, so an unfinished write is never read and no file
-that a reader may hold is changed in place. An upsert costs as much as its batch;
-``compact_documents`` folds the deltas into a new base.
+that a reader may hold is changed in place. An upsert writes its batch and reads
+nothing; readers keep the newest ``scraped_at`` per id. ``compact_documents``, which
+only a caller starts, folds the deltas into a new base.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import broadcast_if_bounded, cut_lineage, first_per_key
+from ..plans import first_per_key
 from ..schemas import DOCUMENT_SCHEMA
 from ..sources.pages import scan_documents
 from .versions import hadoop_path, live_versions, next_version, versions
 
-COMPACT_AFTER = 16
-
 
 def latest_by_id(df: DataFrame, *newest_first: Column) -> DataFrame:
     return first_per_key(df, ["id"], list(newest_first))
@@ -46,10 +45,11 @@ def drop_document_table(spark: SparkSession, root: str) -> None:
 
 
 def read_document_table(spark: SparkSession, root: str) -> DataFrame:
-    """The current documents.
+    """The current documents: the newest ``scraped_at`` per id, then the last written.
 
-    Base rows changed by a later delta are removed with an anti join on the delta
-    ids; the base is not regrouped.
+    Base rows for which a delta holds something as new are removed by an anti join,
+    and so are delta rows older than what the base holds. The base is not regrouped,
+    and only its ids and times are read for the second join.
     """
     base, deltas = live_versions(spark, root)
     if base is None and not deltas:
@@ -62,45 +62,42 @@ def read_document_table(spark: SparkSession, root: str) -> DataFrame:
     changed = frames[0]
     for frame in frames[1:]:
         changed = changed.unionByName(frame)
+    order = (F.desc_nulls_last("scraped_at"), F.desc("_version"))
     if len(deltas) > 1:
-        changed = latest_by_id(changed, F.desc("_version"))
+        changed = latest_by_id(changed, *order)
     changed = changed.drop("_version")
     if base is None:
         return changed
-    ids = scan_documents(spark, [v.path for v in deltas]).select("id")
-    return scan_documents(spark, base.path).join(ids, "id", "left_anti").unionByName(changed)
+    held = scan_documents(spark, base.path)
+    # Times of the deltas alone: their narrow columns are ranked, not the contents.
+    times = frames[0].select("id", "scraped_at", "_version")
+    for frame in frames[1:]:
+        times = times.unionByName(frame.select("id", "scraped_at", "_version"))
+    new = latest_by_id(times, *order).select("id", F.col("scraped_at").alias("_new"))
+    old = held.select("id", F.col("scraped_at").alias("_old"))
+    replaced = F.col("scraped_at").isNull() | (F.col("_new") >= F.col("scraped_at"))
+    outdated = F.col("_old").isNotNull() & (
+        F.col("scraped_at").isNull() | (F.col("scraped_at") < F.col("_old"))
+    )
+    kept = held.join(new, (held["id"] == new["id"]) & replaced, "left_anti")
+    fresh = changed.join(old, (changed["id"] == old["id"]) & outdated, "left_anti")
+    return kept.unionByName(fresh)
 
 
-def upsert_documents(
-    spark: SparkSession, documents: DataFrame, root: str, compact_after: int = COMPACT_AFTER
-) -> None:
+def upsert_documents(spark: SparkSession, documents: DataFrame, root: str) -> None:
     """Replace documents by id, the newest ``scraped_at`` winning.
 
-    Rows older than what the table holds are dropped, so that replaying a batch,
-    or an older one, changes nothing. One writer at a time.
+    Costs as much as the batch. Replaying a batch, or an older one, changes nothing
+    that is read. One writer at a time.
     """
     create_document_table(spark, root)
-    batch = cut_lineage(
-        latest_by_id(
-            documents.select(*DOCUMENT_SCHEMA.names),
-            F.desc_nulls_last("scraped_at"),
-            F.desc("content"),
-        )
-    )
-    path = next_version(spark, root, "delta")
-    ids, _ = broadcast_if_bounded(batch.select("id"))
-    held = (
-        read_document_table(spark, root)
-        .select("id", F.col("scraped_at").alias("_held_at"))
-        .join(ids, "id", "left_semi")
-    )
-    fresh = batch.join(held, "id", "left").where(
-        F.col("_held_at").isNull() | (F.col("scraped_at") >= F.col("_held_at"))
+    batch = latest_by_id(
+        documents.select(*DOCUMENT_SCHEMA.names),
+        F.desc_nulls_last("scraped_at"),
+        F.desc("content"),
     )
-    _write(fresh.drop("_held_at"), path)
+    _write(batch, next_version(spark, root, "delta"))
     spark.catalog.refreshByPath(root)
-    if len(live_versions(spark, root)[1]) > compact_after:
-        compact_documents(spark, root)
 
 
 def compact_documents(spark: SparkSession, root: str) -> None:

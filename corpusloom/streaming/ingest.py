@@ -1,5 +1,6 @@
 """Ingestion of finished scrapes into the document table."""
 
+import hashlib
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
@@ -34,6 +35,7 @@ class IngestOptions:
     make_text_model: Callable[[], TextModel] | None = None
     make_embedding_model: Callable[[], EmbeddingModel] | None = None
     dims: int | None = None
+    max_bytes: int | None = None
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,7 @@ def ingest_scrapes(
     manifests: DataFrame,
     prefixes: list[str],
     options: IngestOptions = IngestOptions(),
+    batch: str = "manual",
 ) -> IngestResult:
     """Build and upsert the documents of finished scrapes in one job.
 
@@ -75,7 +78,8 @@ def ingest_scrapes(
     folders from ``prefixes`` (one manifest file each, so bounded per batch).
 
     ``scraped_at`` comes from the scrape, not the clock, so that a replay writes
-    the same documents. Rows that fail go to ``{table}/quarantine``.
+    the same documents. Rows that fail go to ``{table}/quarantine/batch={batch}``,
+    which a replay of the batch replaces.
     """
     started = time.monotonic()
     create_document_table(spark, table)
@@ -84,7 +88,11 @@ def ingest_scrapes(
     # all read the checkpointed rows.
     built = cut_lineage(
         build_documents(
-            pages, options.make_text_model, options.make_embedding_model, options.dims
+            pages,
+            options.make_text_model,
+            options.make_embedding_model,
+            options.dims,
+            options.max_bytes,
         )
     )
     good, bad = split_errors(built)
@@ -94,32 +102,77 @@ def ingest_scrapes(
     if n_good:
         upsert_documents(spark, good, table)
     if n_pages > n_good:
-        bad.select("id", "url", "scraped_at", "error").write.mode("append").parquet(
-            f"{table}/quarantine"
+        bad.select("id", "url", "scraped_at", "error").write.mode("overwrite").parquet(
+            f"{table}/quarantine/batch={batch}"
         )
-    scrapes = manifests.where(F.col("part") == 0).count()
+    scrapes = manifests.select("scrape_prefix").distinct().count()
     elapsed = int((time.monotonic() - started) * 1000)
     return IngestResult(scrapes, n_pages, n_good, n_pages - n_good, elapsed)
 
 
-def _ingest_trees(
-    spark: SparkSession, root: str, table: str, manifests: DataFrame, options: IngestOptions
+def _without_pages(
+    spark: SparkSession, root: str, manifests: DataFrame, layout: str
+) -> list[str]:
+    """Scrapes of a batch that have a manifest and no staged pages."""
+    wanted = manifests.select("scrape_prefix").distinct()
+    if layout == "table":
+        if not path_exists(spark, f"{root}/staged"):
+            return sorted(row[0] for row in wanted.collect())
+        there = scan_staged_table(spark, root, manifests).select("scrape_prefix").distinct()
+        return sorted(row[0] for row in wanted.join(there, "scrape_prefix", "left_anti").collect())
+    prefixes = sorted(row[0] for row in wanted.collect())
+    return [p for p in prefixes if not path_exists(spark, f"{root}/{p}/pages")]
+
+
+def ingest_manifests(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    manifests: DataFrame,
+    options: IngestOptions = IngestOptions(),
+    batch: str = "manual",
 ) -> IngestResult:
-    """Ingest the scrapes whose pages exist and record the others as failed."""
-    prefixes = sorted(r[0] for r in manifests.select("scrape_prefix").distinct().collect())
-    ready = [p for p in prefixes if path_exists(spark, f"{root}/{p}/pages")]
-    failed = [(p, "no staged pages") for p in prefixes if p not in set(ready)]
+    """Ingest a batch of finished scrapes; one that fails costs only itself.
+
+    All scrapes are ingested in one job. If that fails, each is tried by itself.
+    Scrapes without pages and those that fail are in ``failed`` with the reason, and
+    in ``{table}/failed_scrapes/batch={batch}``, which a replay replaces.
+    """
+    manifests = cut_lineage(manifests)
+    failed = [(p, "no staged pages") for p in _without_pages(spark, root, manifests, options.layout)]
+    ready = manifests.where(~F.col("scrape_prefix").isin([p for p, _ in failed]))
+    prefixes = sorted(row[0] for row in ready.select("scrape_prefix").distinct().collect())
+    result = IngestResult(0, 0, 0, 0, 0)
+    if prefixes:
+        try:
+            result = ingest_scrapes(spark, root, table, ready, prefixes, options, batch)
+        except Exception:  # found out below, scrape by scrape
+            for number, prefix in enumerate(prefixes):
+                own = ready.where(F.col("scrape_prefix") == prefix)
+                name = f"{batch}-{number}"
+                try:
+                    one = ingest_scrapes(spark, root, table, own, [prefix], options, name)
+                except Exception as error:
+                    failed.append((prefix, f"{type(error).__name__}: {error}"[:1000]))
+                else:
+                    result = _sum(result, one)
     if failed:
         spark.createDataFrame(failed, "scrape_prefix string, error string").write.mode(
-            "append"
-        ).parquet(f"{table}/failed_scrapes")
-    result = IngestResult(0, 0, 0, 0, 0)
-    if ready:
-        found = manifests.where(F.col("scrape_prefix").isin(ready))
-        result = ingest_scrapes(spark, root, table, found, ready, options)
+            "overwrite"
+        ).parquet(f"{table}/failed_scrapes/batch={batch}")
     return replace(result, failed=failed)
 
 
+def _sum(a: IngestResult, b: IngestResult) -> IngestResult:
+    return IngestResult(
+        a.scrapes + b.scrapes,
+        a.pages + b.pages,
+        a.docs_indexed + b.docs_indexed,
+        a.errors + b.errors,
+        a.duration_ms + b.duration_ms,
+    )
+
+
 def ingest_prefix(
     spark: SparkSession,
     root: str,
@@ -131,7 +184,8 @@ def ingest_prefix(
     manifests = scan_manifests(spark, root, prefix, options.layout)
     if manifests.isEmpty():
         raise FileNotFoundError(f"no manifest for {prefix}")
-    return ingest_scrapes(spark, root, table, manifests, [prefix], options)
+    batch = f"scrape-{hashlib.sha256(prefix.encode()).hexdigest()[:16]}"
+    return ingest_scrapes(spark, root, table, manifests, [prefix], options, batch)
 
 
 def stream_manifests(
@@ -158,17 +212,15 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Ingest every finished scrape as its manifest appears.
 
-    A batch holds at most ``max_files`` manifest files. Scrapes whose pages are
-    missing are reported as failed and the stream goes on. A replayed batch
-    rewrites the same documents.
+    A batch holds at most ``max_files`` manifest files. Scrapes that fail or whose
+    pages are missing are reported and the stream goes on. A replayed batch writes
+    the same documents, quarantine and failures again.
     """
 
     def ingest_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if options.layout == "table":
-            result = ingest_scrapes(session, root, table, batch, [], options)
-        else:
-            result = _ingest_trees(session, root, table, batch, options)
+        result = ingest_manifests(
+            batch.sparkSession, root, table, batch, options, f"{batch_id}"
+        )
         if on_result is not None:
             on_result(result)
 

@@ -202,13 +202,20 @@ def test_unfinished_versions_are_not_read(spark, tmp_path):
     assert set(titles(read_document_table(spark, root))) == {"a", "b"}
 
 
-def test_table_compacts_by_itself(spark, tmp_path):
+def test_only_the_caller_compacts(spark, tmp_path):
     root = str(tmp_path / "t")
     for n in range(4):
-        upsert_documents(spark, spark.createDataFrame([doc(f"d{n}"), doc("x", 1 + n, f"t{n}")], DOCUMENT_SCHEMA), root, compact_after=2)
-    bases = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("base")]
-    assert len(bases) == 2
-    assert titles(read_document_table(spark, root)) == {"d0": "t", "d1": "t", "d2": "t", "d3": "t", "x": "t3"}
+        upsert_documents(spark, spark.createDataFrame([doc(f"d{n}"), doc("x", 1 + n, f"t{n}")], DOCUMENT_SCHEMA), root)
+    bases = lambda: [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("base")]
+    assert len(bases()) == 1
+    before = titles(read_document_table(spark, root))
+    compact_documents(spark, root)
+    # Older and equally old rows of a replayed batch.
+    upsert_documents(spark, spark.createDataFrame([doc("x", 2, "old"), doc("d1", 1, "again")], DOCUMENT_SCHEMA), root)
+    assert len(bases()) == 2 and before["x"] == "t3"
+    assert titles(read_document_table(spark, root)) == before | {"d1": "again"}
+    compact_documents(spark, root)
+    assert titles(read_document_table(spark, root)) == {"d0": "t", "d1": "again", "d2": "t", "d3": "t", "x": "t3"}
 
 
 def test_lookup(spark, tmp_path, capsys):
@@ -300,7 +307,9 @@ def test_documents(spark, tmp_path):
     assert by_url["h"]["title"] == "boom" and by_url["h"]["content"] == "x"
     # The failed call leaves tags and summary empty, the document stays.
     assert by_url["h"]["tags"] is None and by_url["h"]["summary"] is None and by_url["h"]["error"] is None
-    assert by_url["long"]["tags"] == ["Title", "tag"] and by_url["long"]["summary"] == "about Title (20000)"
+    assert by_url["long"]["tags"] == ["Title", "tag"] and by_url["long"]["summary"] == "about Title (30013)"
+    cut = build_documents(pages, text_factory, max_bytes=20_000).where("summary like '%(20000)'")
+    assert cut.count() == 1
     assert by_url["long"]["embedding"] is None and "expected 2 values, got 3" in by_url["long"]["error"]
     assert by_url["md"]["embedding"] == [1.0, 2.0] and by_url["null"]["content"] == ""
     plain = build_documents(pages)

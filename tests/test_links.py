@@ -101,3 +101,12 @@ def test_markdown_variants(spark):
     assert bodies["/gone"][0] == "text/html" and bodies["/alone"][0] == "text/html"
     assert bodies["/twice"] == ("", "# A")
     assert chosen.where(F.col("url") == SITE + "/plain").select("body").distinct().count() == 1
+
+
+def test_a_crawl_without_a_bound_ends_by_itself_only(spark):
+    """Deeper than any fixed number of rounds would be: the chain is followed to its end."""
+    chain = [(f"https://h.example/{n}", f"https://h.example/{n + 1}") for n in range(53)]
+    edges = spark.createDataFrame(chain, "src_url string, dst_url string")
+    seeds = spark.createDataFrame([("https://h.example/0",)], "url string")
+    found = crawl_frontier(seeds, edges, 0).collect()
+    assert sorted(row["depth"] for row in found) == list(range(1, 55))

@@ -7,9 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as engine
+from corpusloom import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = engine.queries(), engine.oracle_sql()
+ORACLES = engine.oracle_sql()
+# Queries of a subpackage are checked here as far as they have SQL.
+QUERIES = {n: q for n, q in engine.queries().items() if n in catalog.QUERIES or n in ORACLES}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +32,7 @@ def normalized(rows, columns):
 
 def test_registration():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"search_english", "knn_approx"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"search_english"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

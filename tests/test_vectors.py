@@ -6,7 +6,14 @@ from corpusloom.operators import vectors
 from corpusloom.operators.analysis import STANDARD, build_index
 from corpusloom.operators.hybrid import fuse_ranks, hybrid_search, hybrid_search_many
 from corpusloom.operators.bm25 import search
-from corpusloom.operators.vectors import knn, knn_approx, knn_many
+from corpusloom.operators.vectors import (
+    build_vector_index,
+    knn,
+    knn_approx,
+    knn_many,
+    open_vector_index,
+    write_vector_index,
+)
 
 N, DIMS = 400, 12
 
@@ -75,10 +82,10 @@ def test_many(documents, queries, matrix):
     check_many(knn_many(documents, queries, 6), queries, matrix, 6)
 
 
-def test_many_in_cells(documents, queries, matrix, monkeypatch):
-    """Beyond one block of queries the search is split into cells and stays exact."""
+def test_many_in_blocks(documents, queries, matrix, monkeypatch):
+    """Blocks of queries and small score buffers change nothing."""
     monkeypatch.setattr(vectors, "QUERIES_PER_BLOCK", 2)
-    monkeypatch.setattr(vectors, "CELL_BYTES", 4 * DIMS * 100)
+    monkeypatch.setattr(vectors, "SCORE_BYTES", 200)
     check_many(knn_many(documents, queries, 6), queries, matrix, 6)
 
 
@@ -94,13 +101,20 @@ def test_no_cross_join(documents, queries, capsys):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_approximate_recall(documents, matrix):
+def test_approximate_recall(spark, documents, matrix, tmp_path):
     hits = 0
+    write_vector_index(build_vector_index(documents, matrix.shape[1], 16), str(tmp_path))
+    index = open_vector_index(spark, str(tmp_path))
     for n in range(0, 50, 5):
         vector = matrix[n].tolist()
         exact = {i for i, _ in brute_force(matrix, vector, 10)}
-        hits += len(exact & {i for i, _ in found(knn_approx(documents, vector, 10, candidates=60))})
+        hits += len(exact & {i for i, _ in found(knn_approx(index, vector, 10, n_probe=8))})
     assert hits / 100 >= 0.8
+    # Few cells hold less than is asked for: more are read.
+    everything = documents.where("embedding is not null").count()
+    assert len(found(knn_approx(index, matrix[0].tolist(), 10_000, n_probe=1))) == len(
+        found(knn(documents, matrix[0].tolist(), 10_000))
+    ) <= everything
 
 
 def test_fusion_does_not_depend_on_the_order_of_arms(spark):
