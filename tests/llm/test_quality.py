@@ -134,7 +134,7 @@ def test_odd_rows(spark, make_docs):
     found = score_documents(docs, model).collect()
     assert len(found) == len(TEXTS) + 2
     by_id = {row["doc_id"]: row["score"] for row in found}
-    assert by_id[0] == by_id[1] == by_id[2] and all(0 <= row["score"] <= 1 for row in found)
+    assert by_id[0] == by_id[1] and all(0 <= row["score"] <= 1 for row in found)
     assert by_id[5] > 0.5 > by_id[3]
     assert score_documents(make_docs([]), model).count() == 0
 
