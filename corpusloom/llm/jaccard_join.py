@@ -37,14 +37,17 @@ from .components import connected_components
 SHINGLE_WORDS = 5
 #: Similarity in percent: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-GROUPS = 64
+#: Groups of the count vectors. The bound tells unrelated sets of up to about twelve
+#: times as many shingles apart; counts are single bytes, of which ``MANY`` is open.
+GROUPS = 512
+MANY = 255
 LEAF = 32
 FANOUT = 8
 #: A shingle is common if it stands in at least this share of the sampled documents.
 #: Common shingles come last in the order; that decides which rows meet, not which link.
-COMMON_SHARE = 0.001
-COMMON_LEAST = 8
-COMMON_SAMPLE = 64
+COMMON_SHARE = 0.0002
+COMMON_LEAST = 4
+COMMON_SAMPLE = 8
 
 #: Members of a bucket's largest component that one task searches.
 BUCKET_ROWS = 4096
@@ -94,7 +97,16 @@ def count_vectors(hashes: np.ndarray, first: np.ndarray, groups: int = GROUPS) -
     cell = owner * groups + (mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(groups)).astype(
         np.int64
     )
-    return np.bincount(cell, minlength=sets * groups).reshape(sets, groups).astype(np.uint32)
+    counts = np.bincount(cell, minlength=sets * groups).reshape(sets, groups)
+    return np.minimum(counts, MANY).astype(np.uint8)
+
+
+def overlap_bounds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of the coordinate minima of rows; without limit where both counts are open."""
+    least = np.minimum(a, b)
+    bound = least.sum(axis=1, dtype=np.int64)
+    bound[least.max(axis=1, initial=0) == MANY] = 2**40
+    return bound
 
 
 def prefix_lengths(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -130,10 +142,10 @@ class CountTree:
     def _admitted(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         top, least = self.levels[level]
         keep = np.zeros(len(a), dtype=bool)
-        for at in range(0, len(a), 1 << 14):
-            part = slice(at, at + (1 << 14))
-            bound = np.minimum(top[a[part]], top[b[part]]).sum(axis=1).astype(np.int64)
-            # The bound rises with the overlap and falls with the sizes.
+        for at in range(0, len(a), 1 << 12):
+            part = slice(at, at + (1 << 12))
+            bound = overlap_bounds(top[a[part]], top[b[part]])
+            # A smaller size admits more: the smallest below a node stands for all.
             keep[part] = may_link(bound, least[a[part]], least[b[part]], percent)
         return keep
 
@@ -183,7 +195,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, offsets in text_blocks(batch, "text"):
             hashes, first = shingle_sets(data, offsets)
             sizes = np.diff(first)
-            vectors = count_vectors(hashes, first).astype("<u4")
+            vectors = count_vectors(hashes, first)
             yield _batch(
                 ["doc", "class", "n", "counts"],
                 batch.column("doc").slice(row, len(sizes)),
@@ -285,39 +297,73 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(names, [int(held[0])], [int(held[1])], [int(held[2])], none, none)
 
 
+def _points(rows, column: str) -> np.ndarray:
+    data = b"".join(rows.column(column).to_pylist())
+    return np.frombuffer(data, np.uint8).reshape(-1, GROUPS)
+
+
 def _admitted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose count vectors admit a link."""
     for batch in batches:
-        points = [
-            np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, GROUPS)
-            for k in ("counts_a", "counts_b")
-        ]
-        bound = np.minimum(*points).sum(axis=1).astype(np.int64)
-        sizes = [point.sum(axis=1).astype(np.int64) for point in points]
+        bound = overlap_bounds(_points(batch, "counts_a"), _points(batch, "counts_b"))
+        sizes = [batch.column(k).to_numpy() for k in ("n_a", "n_b")]
         keep = pa.array(may_link(bound, *sizes))
         yield batch.select(["a", "b"]).filter(keep)
 
 
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Search the R-tree of each bucket; rows are sorted by key and salt."""
+    """Search the R-tree of each bucket; rows are sorted by key and salt.
+
+    A bucket of up to ``LEAF`` members is a single leaf; those of a batch are searched
+    together.
+    """
+
+    def columns(rows):
+        names = ("class", "label", "n")
+        return _points(rows, "counts"), *(rows.column(k).to_numpy() for k in names)
+
+    def found(group, a, b):
+        a, b = group[a], group[b]
+        return _batch(["a", "b"], np.minimum(a, b), np.maximum(a, b))
 
     def search(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        group = rows.column("class").to_numpy()
-        points = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4")
-        tree = CountTree(points.reshape(-1, GROUPS), rows.column("n").to_numpy())
-        for a, b in tree.pairs(rows.column("label").to_numpy()):
-            a, b = group[a], group[b]
-            yield _batch(["a", "b"], np.minimum(a, b), np.maximum(a, b))
+        points, group, label, sizes = columns(rows)
+        for a, b in CountTree(points, sizes).pairs(label):
+            yield found(group, a, b)
+
+    def search_leaves(rows: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``ends``: for each row the end of its bucket in the batch, or the row itself."""
+        points, group, label, sizes = columns(rows)
+        at = np.arange(len(ends))
+        counts = np.maximum(ends - at - 1, 0)
+        left, right = np.repeat(at, counts), flat_ranges(at + 1, counts)
+        other = label[left] != label[right]
+        left, right = left[other], right[other]
+        # Sizes alone settle most pairs.
+        small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
+        near = may_link(small, small, large)
+        left, right = left[near], right[near]
+        for first in range(0, len(left), 1 << 12):
+            a, b = left[first : first + (1 << 12)], right[first : first + (1 << 12)]
+            keep = may_link(overlap_bounds(points[a], points[b]), sizes[a], sizes[b])
+            if keep.any():
+                yield found(group, a[keep], b[keep])
 
     held: list[pa.RecordBatch] = []
     at = None
     for batch in batches:
+        if not len(batch):
+            continue
         key, salt = batch.column("key").to_numpy(), batch.column("salt").to_numpy()
         new = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
         cuts = np.concatenate(([0], new, [len(key)]))
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            if low == high:
-                continue
+        sizes = np.diff(cuts)
+        # The outermost buckets may go on in other batches.
+        whole = np.ones(len(sizes), dtype=bool)
+        whole[[0, -1]] = False
+        leaves = whole & (sizes <= LEAF)
+        yield from search_leaves(batch, np.repeat(np.where(leaves, cuts[1:], 0), sizes))
+        for low, high in zip(cuts[:-1][~leaves], cuts[1:][~leaves]):
             if held and at != (key[low], salt[low]):
                 yield from search(pa.Table.from_batches(held))
                 held = []
@@ -422,10 +468,12 @@ def similar_documents(
         .distinct()
     )
     point = lambda side: classes.select(
-        F.col("class").alias(side), F.col("counts").alias(f"counts_{side}")
+        F.col("class").alias(side),
+        F.col("n").alias(f"n_{side}"),
+        F.col("counts").alias(f"counts_{side}"),
     )
     with_points = neighbours.join(point("a"), "a").join(point("b"), "b")
-    admitted = with_points.select("a", "b", "counts_a", "counts_b").mapInArrow(
+    admitted = with_points.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(
         _admitted_pairs, "a long, b long"
     )
     links = work_table(_verified(texts, classes, admitted))

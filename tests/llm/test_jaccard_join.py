@@ -131,11 +131,11 @@ def test_tree_finds_all_admitted_pairs():
         m = int(rng.integers(1, 300))
         base = rng.poisson(3, (5, GROUPS))
         moved = base[rng.integers(0, 5, m)] + rng.integers(-1, 2, (m, GROUPS)) * (rng.random((m, GROUPS)) < 0.3)
-        points = np.maximum(moved, 0).astype(np.uint32)
+        points = np.maximum(moved, 0).astype(np.uint8)
         sizes, labels = points.sum(axis=1).astype(np.int64), rng.integers(0, 6, m)
         got = [p for a, b in CountTree(points, sizes).pairs(labels) for p in zip(a.tolist(), b.tolist())]
         got = sorted(tuple(sorted(p)) for p in got)
-        bound = lambda i, j: int(np.minimum(points[i], points[j]).sum())
+        bound = lambda i, j: int(np.minimum(points[i], points[j]).astype(int).sum())
         assert got == [
             (i, j)
             for i in range(m)
