@@ -25,6 +25,8 @@ GZIP_START = b"\x1f\x8b\x08"
 FILE_BYTES = 16 << 20
 #: Payloads below this size are stored each time.
 REVISIT_BYTES = 1000
+#: Bytes of a gzip member that are unpacked at a time.
+PIECE_BYTES = 1 << 14
 
 RECORD_SCHEMA = (
     "file string, offset long, length long, record_type string, record_id string, "
@@ -109,17 +111,22 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """The record at ``at``, in a gzip member of its own or plain."""
     if data.startswith(GZIP_START, at):
-        unpacker = zlib.decompressobj(31)
+        # In pieces, so that the rest of the archive is not copied for each member.
+        unpacker, parts, end = zlib.decompressobj(31), [], at
         try:
-            plain = unpacker.decompress(memoryview(data)[at:])
+            while not unpacker.eof and end < len(data):
+                parts.append(unpacker.decompress(data[end : end + PIECE_BYTES]))
+                end = min(end + PIECE_BYTES, len(data))
         except zlib.error as error:
             raise ValueError(str(error)) from None
         if not unpacker.eof:
             raise ValueError("member is cut off")
-        headers, block, end = parse_record(plain)
-        if end != len(plain):
+        end -= len(unpacker.unused_data)
+        plain = b"".join(parts)
+        headers, block, length = parse_record(plain)
+        if length != len(plain):
             raise ValueError("member holds more than its record")
-        return headers, block, len(data) - len(unpacker.unused_data)
+        return headers, block, end
     return parse_record(data, at)
 
 
