@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from corpusloom.llm.byte_bpe import decode_documents, encode_documents  # noqa: E402
-from corpusloom.llm.common import work_table  # noqa: E402
+from corpusloom.llm.common import WORD, work_table  # noqa: E402
 from corpusloom.llm.decontamination import contaminated  # noqa: E402
 from corpusloom.llm.jaccard_join import similar_documents  # noqa: E402
-from corpusloom.llm.line_dedup import MIN_WORDS, dedup_lines  # noqa: E402
+from corpusloom.llm.line_dedup import dedup_lines  # noqa: E402
 from corpusloom.llm.quality_rules import quality_rules  # noqa: E402
 from corpusloom.plans import broadcast_if_bounded  # noqa: E402
 from corpusloom.session import ship_package  # noqa: E402
@@ -39,12 +39,11 @@ def filter_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand earlier, in the same or similar words.
 
-    A document that lost lines and has none left of enough words to be judged goes.
+    A document that lost lines and has no word left goes.
     """
     ship_package(spark)
-    words = r"[^\x20\x09-\x0D\n]+[\x20\x09\x0B-\x0D]+"
-    left = F.col("clean_text").rlike(f"({words}){{{MIN_WORDS - 1}}}[^\\x20\\x09-\\x0D]")
-    found = dedup_lines(docs)
+    left = F.col("clean_text").rlike(WORD)
+    found = dedup_lines(docs, min_chars=1)
     return _with_text(found.where((F.col("n_removed_lines") == 0) | left), docs.columns)
 
 

@@ -245,4 +245,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed_lines", "removed_chars")
+    return dedup_lines(docs, min_chars=1).select("doc_id", "n_lines", "n_removed_lines", "removed_chars")
