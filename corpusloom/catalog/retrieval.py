@@ -276,11 +276,11 @@ def knn_by_cells(spark, sf_dir):
     """Fifty neighbours from the stored cells: whole, exact, in order, and nine of ten
     of them among the true ones."""
     vectors = table(spark, sf_dir, "embeddings")
-    root = r.stored(spark, f"cells of {sf_dir}")
+    root = r.stored(spark, f"cells with reach of {sf_dir}")
     if not path_exists(spark, f"{root}/cells/_SUCCESS"):
-        write_vector_index(build_vector_index(vectors, 64, 16, "vec_id"), root)
+        write_vector_index(build_vector_index(vectors, 64, id_col="vec_id"), root)
     vector = _mean_vector(spark, sf_dir)
-    found = knn_approx(open_vector_index(spark, root), vector, 50, n_probe=12)
+    found = knn_approx(open_vector_index(spark, root), vector, 50)
     true = knn(vectors, vector, 50, id_col="vec_id").select("id", F.lit(1).alias("hit"))
     dot = F.aggregate(
         F.zip_with("embedding", F.array(*map(F.lit, vector)), lambda x, y: x.cast("double") * y),

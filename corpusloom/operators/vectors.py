@@ -167,7 +167,10 @@ def knn_many(
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """``vectors`` (``id, vector, cell``), the unit centre and the size of each cell.
+    """``vectors`` (``id, vector, cell``), the unit centre, size and reach of each cell.
+
+    ``reach`` is the smallest cosine of a vector of the cell with its centre, -1 where
+    that is not known.
 
     Written with :func:`write_vector_index`, ``vectors`` is partitioned by ``cell``, so
     that a search reads the partitions of its cells only.
@@ -176,6 +179,7 @@ class VectorIndex:
     vectors: DataFrame
     centres: np.ndarray
     sizes: np.ndarray
+    reach: np.ndarray | None = None
 
 
 def _nearest_cell(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -208,18 +212,23 @@ def build_vector_index(
         lengths = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(lengths > 0, sums / np.maximum(lengths, 1e-12), centres)
 
-    @F.pandas_udf("int")
-    def cell_of(vectors: pd.Series) -> pd.Series:
+    @F.pandas_udf("cell int, near double")
+    def place_of(vectors: pd.Series) -> pd.DataFrame:
         if vectors.empty:
-            return pd.Series([], dtype="int32")
-        return pd.Series(_nearest_cell(np.stack(vectors), centres).astype("int32"))
-
-    vectors = cut_lineage(usable.withColumn("cell", cell_of("vector")))
-    counted = vectors.groupBy("cell").count().collect()
+            return pd.DataFrame({"cell": np.zeros(0, "int32"), "near": np.zeros(0)})
+        matrix = np.stack(vectors)
+        cell = _nearest_cell(matrix, centres)
+        near = (_unit_rows(matrix) * centres[cell]).sum(axis=1)
+        # A zero vector has no direction; it never matches and widens no cell.
+        return pd.DataFrame({"cell": cell.astype("int32"), "near": np.nan_to_num(near, nan=1.0)})
+
+    placed = cut_lineage(usable.withColumn("place", place_of("vector")))
+    counted = placed.groupBy("place.cell").agg(F.count(F.lit(1)), F.min("place.near")).collect()
     sizes = np.zeros(len(centres), dtype=np.int64)
-    for row in counted:
-        sizes[row["cell"]] = row["count"]
-    return VectorIndex(vectors, centres, sizes)
+    reach = np.ones(len(centres))
+    for cell, size, near in counted:
+        sizes[cell], reach[cell] = size, near
+    return VectorIndex(placed.select("id", "vector", "place.cell"), centres, sizes, reach)
 
 
 def write_vector_index(index: VectorIndex, root: str) -> None:
@@ -227,8 +236,12 @@ def write_vector_index(index: VectorIndex, root: str) -> None:
     index.vectors.hint("rebalance", "cell").write.partitionBy("cell").mode("overwrite").parquet(
         f"{root}/vectors"
     )
-    cells = [(n, c.tolist(), int(s)) for n, (c, s) in enumerate(zip(index.centres, index.sizes))]
-    schema = "number int, centre array<double>, size long"
+    reach = np.full(len(index.sizes), -1.0) if index.reach is None else index.reach
+    cells = [
+        (n, c.tolist(), int(s), float(r))
+        for n, (c, s, r) in enumerate(zip(index.centres, index.sizes, reach))
+    ]
+    schema = "number int, centre array<double>, size long, reach double"
     spark.createDataFrame(cells, schema).coalesce(1).write.mode("overwrite").parquet(
         f"{root}/cells"
     )
@@ -240,6 +253,7 @@ def open_vector_index(spark: SparkSession, root: str) -> VectorIndex:
         spark.read.parquet(f"{root}/vectors"),
         np.array([row["centre"] for row in cells]),
         np.array([row["size"] for row in cells]),
+        np.array([row["reach"] for row in cells]) if cells and "reach" in cells[0] else None,
     )
 
 
@@ -247,18 +261,43 @@ def knn_approx(
     index: VectorIndex,
     vector: Sequence[float],
     limit: int = DEFAULT_LIMIT,
-    n_probe: int = 8,
+    n_probe: int | None = None,
 ) -> DataFrame:
-    """``rank, id, score`` of the nearest vectors in the ``n_probe`` nearest cells.
+    """``rank, id, score`` of the nearest vectors in the nearest cells.
 
-    Scores are exact. Further cells are read until those read hold ``limit`` vectors,
-    so that the result is as long as that of :func:`knn`.
+    By default the nearest cells that hold ``limit`` vectors are read first, then every
+    cell that can hold a better one: by its reach, the largest cosine of a vector in it
+    is known, so that none of the nearest is missed. With ``n_probe``, that many of
+    the nearest cells are read, and further ones only until those read hold ``limit``
+    vectors; then some may be missed. Scores are exact.
     """
     check_limit(limit)
     key = _unit_rows(np.asarray([vector], dtype=np.float64))[0]
     order = np.argsort(-np.nan_to_num(index.centres @ key), kind="stable")
     held = np.cumsum(index.sizes[order])
     needed = int(np.searchsorted(held, min(limit, held[-1]))) + 1
-    cells = order[: max(n_probe, needed)].tolist()
+    cells = order[: max(n_probe or 1, needed)].tolist()
+    if n_probe is None and limit:
+        cells = _safe_cells(index, key, vector, limit, cells)
     near = index.vectors.where(F.col("cell").isin(*cells))
     return knn(near, vector, limit, "id", "vector")
+
+
+def _safe_cells(
+    index: VectorIndex, key: np.ndarray, vector: Sequence[float], limit: int, cells: list[int]
+) -> list[int]:
+    """``cells`` and all that can hold a vector as near as the worst found in ``cells``."""
+    everything = np.flatnonzero(index.sizes).tolist()
+    if index.reach is None or np.isnan(key).any() or not everything:
+        return everything or cells
+    near = index.vectors.where(F.col("cell").isin(*cells))
+    scores = [row["score"] for row in knn(near, vector, limit, "id", "vector").collect()]
+    if len(scores) < limit:
+        return everything
+    # The angle to a vector is at least that to its centre less the cell's own.
+    centre = np.arccos(np.clip(_unit_rows(index.centres) @ key, -1, 1))
+    own = np.arccos(np.clip(index.reach / np.linalg.norm(index.centres, axis=1), -1, 1))
+    best = np.cos(np.maximum(centre - own, 0))
+    # Rounding may not exclude a vector; a centre without direction excludes none.
+    able = ~(best < min(scores) - 1e-6) & (index.sizes > 0)
+    return sorted({*cells, *np.flatnonzero(able).tolist()})
