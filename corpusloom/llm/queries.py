@@ -11,8 +11,11 @@ from .byte_bpe import decode_documents, encode_documents
 from .chat import format_conversations, read_back
 from .common import work_path
 from .decontamination import contaminated
+from .hard_negatives import hard_negatives
 from .jaccard_join import similar_documents
+from .kd_search import top_k
 from .line_dedup import dedup_lines
+from .merkle import folded_root, group_key, leaf_digest, merkle_manifest
 from .quality_classifier import score_documents, train, training_examples
 from .quality_rules import quality_rules
 from .repeated_strings import remove_repeated
@@ -246,3 +249,167 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, min_chars=1).select("doc_id", "n_lines", "n_removed_lines", "removed_chars")
+
+
+def _integer_rows(factor: int) -> str:
+    """SQL of ``id, label, v``: the rows that take part, their components whole numbers."""
+    return f"""
+        SELECT vec_id AS id, label,
+            [floor({factor} * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    """
+
+
+@query(
+    sql=f"""
+    WITH e AS (
+        SELECT id, v, CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+        FROM ({_integer_rows(256)}) WHERE label IS NOT NULL
+    ), scored AS (
+        SELECT a.id AS anchor_id, e.id, a.label = e.label AS same,
+            CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+        FROM e a, e WHERE a.id % 100 = 0 AND a.id <> e.id
+    ), positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM (
+            SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS n
+            FROM scored WHERE same
+        ) WHERE n <= 5
+    ), found AS (
+        SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+                AS INTEGER) AS rank
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    )
+    SELECT * FROM found WHERE rank <= 10
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label, factor=256
+    )
+
+
+#: SQL: whether 2 divides the crc32 of the decimal doc_id, bit by bit.
+_EVEN_CRC = """
+    (list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten([
+        [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]
+        FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+        lambda crc, b: CASE WHEN xor(crc, b) & 1 = 1 THEN xor(xor(crc, b) >> 1, 3988292384)
+            ELSE xor(crc, b) >> 1 END) & 1 = 1)
+"""
+
+
+def _sized(name: str) -> str:
+    text = f"CAST({name} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+_HEAD = " || ".join(_sized(name) for name in ("doc_id", "source", "lang", "n_chars"))
+
+
+@query(
+    sql=rf"""
+    WITH RECURSIVE d AS (
+        SELECT *, CASE WHEN even THEN replace(text, chr(10), '') ELSE text END AS changed
+        FROM (SELECT *, {_EVEN_CRC} AS even FROM documents)
+    ), leaves AS (
+        SELECT doc_id, source, sha256({_HEAD} || {_sized("text")}) AS leaf,
+            CASE WHEN even THEN sha256({_HEAD} || {_sized("changed")}) END AS tampered
+        FROM d
+    ), lower_levels AS (
+        SELECT source, 0 AS level, doc_id,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY source) AS n, leaf AS digest
+        FROM leaves
+        UNION ALL
+        SELECT source, level + 1, NULL, pos // 3, (n + 2) // 3,
+            sha256(string_agg(digest, '' ORDER BY pos))
+        FROM lower_levels WHERE n > 1 GROUP BY source, level, pos // 3, n
+    ), subroots AS (
+        SELECT source, digest AS subroot FROM lower_levels WHERE n = 1
+    ), upper_levels AS (
+        SELECT 0 AS level, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos,
+            count(*) OVER () AS n, subroot AS digest, source
+        FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)), NULL
+        FROM upper_levels WHERE n > 1 GROUP BY level, pos // 3, n
+    ), root AS (
+        SELECT digest AS root FROM upper_levels WHERE n = 1
+    ), lower_fold AS (
+        SELECT t.doc_id, t.source, 0 AS level, l.pos, l.n,
+            coalesce(tampered, leaf) AS digest, '' AS proof, leaf
+        FROM leaves t
+            JOIN lower_levels l ON l.level = 0 AND l.doc_id = t.doc_id
+        UNION ALL
+        SELECT f.doc_id, f.source, f.level + 1, f.pos // 3, (f.n + 2) // 3,
+            sha256(string_agg(CASE WHEN l.pos = f.pos THEN f.digest ELSE l.digest END, ''
+                ORDER BY l.pos)),
+            f.proof || coalesce(string_agg(CASE WHEN l.pos <> f.pos THEN l.digest END, ''
+                ORDER BY l.pos), ''),
+            f.leaf
+        FROM lower_fold f JOIN lower_levels l ON l.source IS NOT DISTINCT FROM f.source
+            AND l.level = f.level AND l.pos // 3 = f.pos // 3
+        WHERE f.n > 1 GROUP BY f.doc_id, f.source, f.level, f.pos, f.n, f.proof, f.leaf
+    ), upper_fold AS (
+        SELECT f.doc_id, 0 AS level, u.pos, u.n, f.digest, f.proof, f.leaf, u.digest AS subroot
+        FROM lower_fold f JOIN upper_levels u
+            ON u.level = 0 AND u.source IS NOT DISTINCT FROM f.source
+        WHERE f.n = 1
+        UNION ALL
+        SELECT f.doc_id, f.level + 1, f.pos // 3, (f.n + 2) // 3,
+            sha256(string_agg(CASE WHEN u.pos = f.pos THEN f.digest ELSE u.digest END, ''
+                ORDER BY u.pos)),
+            f.proof || coalesce(string_agg(CASE WHEN u.pos <> f.pos THEN u.digest END, ''
+                ORDER BY u.pos), ''),
+            f.leaf, f.subroot
+        FROM upper_fold f JOIN upper_levels u ON u.level = f.level AND u.pos // 3 = f.pos // 3
+        WHERE f.n > 1 GROUP BY f.doc_id, f.level, f.pos, f.n, f.proof, f.leaf, f.subroot
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, digest AS folded_root,
+        digest = root AS verified
+    FROM upper_fold, root WHERE n = 1
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaves = docs.select(
+        group_key("source").alias("group"),
+        F.col("doc_id").cast("long").alias("id"),
+        leaf_digest([*columns, "text"]).alias("leaf"),
+        F.when(tampered, leaf_digest([*columns, F.replace("text", F.lit("\n"), F.lit(""))])).alias("tampered"),
+    )
+    manifest = folded_root(
+        merkle_manifest(leaves).withColumn("tried", F.coalesce("tampered", "leaf")), "tried", "folded"
+    )
+    text = lambda name: F.lower(F.hex(name))
+    return manifest.select(
+        F.col("id").alias("doc_id"),
+        *(text(name).alias(name) for name in ("leaf", "subroot", "root")),
+        F.sha2(text("siblings"), 256).alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+@query(
+    sql=f"""
+    WITH e AS (SELECT id, v FROM ({_integer_rows(64)}))
+    SELECT * FROM (
+        SELECT q.id AS query_id, e.id AS vec_id,
+            CAST(list_dot_product(q.v, e.v) AS BIGINT) AS score,
+            CAST(row_number() OVER (
+                PARTITION BY q.id ORDER BY list_dot_product(q.v, e.v) DESC, e.id) AS INTEGER) AS rank
+        FROM e q, e WHERE q.id % 20 = 0 AND q.id <> e.id
+    ) WHERE rank <= 20
+    """
+)
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20, factor=64)
+    return found.withColumnRenamed("id", "vec_id")
