@@ -39,6 +39,12 @@ def work_table(df: DataFrame, partition_by: list[str] | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, count: int) -> list[str]:
+    """Column names that ``df`` does not have, in any case."""
+    taken = {name.lower() for name in df.columns}
+    return [name for n in range(len(taken) + count) if (name := f"own_{n}") not in taken][:count]
+
+
 def work_path(spark: SparkSession) -> str:
     """A new path in the shared checkpoint folder, removed when the application ends."""
     context = spark.sparkContext
