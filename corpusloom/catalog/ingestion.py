@@ -32,6 +32,7 @@ from ..sources import (
     scan_staged_pages,
     scan_staged_table,
 )
+from ..sinks.versions import live_versions
 from ..streaming import IngestOptions, ingest_prefix, stream_ingest
 from . import registry as r
 from .registry import documents_table, pages_table, query, table
@@ -362,3 +363,35 @@ def ingest_one_scrape(spark, sf_dir):
     prefix = scraped.agg(F.min_by("scrape_prefix", url_host("url"))).first()[0]
     ingest_prefix(spark, root, f"{root}/table", prefix, IngestOptions(layout="table"))
     return _ingested(spark, read_document_table(spark, f"{root}/table"))
+
+
+@query(
+    f"""
+    WITH titles AS (
+        SELECT {r.document_id('url')} AS id,
+               {r.words(f"coalesce(nullif({sql_html_title('html')}, ''), url)")} AS w FROM pages
+    )
+    SELECT id, term, count(*) AS tf, any_value(n)::BIGINT AS len, true AS deltas_of_batches
+    FROM (SELECT id, len(w) AS n, unnest(w) AS term FROM titles) GROUP BY id, term
+    """
+)
+def stream_index(spark, sf_dir):
+    """The title postings of an index that the stream keeps current, in several batches
+    and with one scrape ingested twice more."""
+    root = _work_dir(spark)
+    scraped = _scraped(spark, sf_dir)
+    stage_pages(scraped, root)
+    write_manifests(scraped, root)
+    index, options = f"{root}/index", IngestOptions(layout="table", index=f"{root}/index")
+    results = []
+    stream = stream_ingest(
+        spark, root, f"{root}/table", f"{root}/progress", options, 20, results.append
+    )
+    stream.awaitTermination()
+    prefix = scraped.agg(F.min("scrape_prefix")).first()[0]
+    for _ in range(2):
+        ingest_prefix(spark, root, f"{root}/table", prefix, options)
+    _, deltas = live_versions(spark, index, "lengths/_SUCCESS")
+    postings = open_index(spark, index).postings.where("field = 'title'")
+    one_each = len(deltas) == len(results) + 1
+    return postings.select("id", "term", "tf", "len", F.lit(one_each).alias("deltas_of_batches"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import html_title
-from ..operators.analysis import STANDARD, build_index
+from ..operators.analysis import ENGLISH, STANDARD, build_index, build_postings
 from ..operators.bm25 import (
     _top,
     bm25_scores,
@@ -29,6 +29,7 @@ from ..sinks import hits_preview, hits_to_json, open_index, write_index
 from ..sinks.versions import path_exists
 from . import registry as r
 from .registry import documents_table, pages_table, query, table
+from .stemming_sql import english_words, stems
 from .text import sql_html_title
 
 TEXT_QUERY = "oner enat reth the oner"
@@ -193,9 +194,61 @@ def search_batch(spark, sf_dir):
     return hits.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
 
 
-@query()
+ENGLISH_QUERY = "entions oners the"
+_ENGLISH = f"""
+    words AS MATERIALIZED (SELECT doc_id AS id, {english_words('text')} AS w FROM documents),
+    asked AS (SELECT unnest({english_words(repr(ENGLISH_QUERY))}) AS word),
+    vocabulary AS (SELECT unnest(w) AS word FROM words UNION SELECT word FROM asked),
+    {stems('vocabulary')},
+    stats AS (SELECT count(*) AS n, avg(len(w)) AS avg_len FROM words WHERE len(w) > 0),
+    qterms AS (SELECT stem, count(*) AS qtf FROM asked JOIN stems USING (word) GROUP BY stem),
+    tf AS (
+        SELECT id, stem, count(*) AS tf, any_value(n_words) AS n_words
+        FROM (SELECT id, len(w) AS n_words, unnest(w) AS word FROM words) JOIN stems USING (word)
+        WHERE stem IN (SELECT stem FROM qterms) GROUP BY id, stem
+    ),
+    df AS (SELECT stem, count(*) AS df FROM tf GROUP BY stem),
+    scores AS (
+        SELECT id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5))
+            * 2.2 * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * n_words / avg_len))), 9) AS score
+        FROM tf JOIN df USING (stem) JOIN qterms USING (stem), stats GROUP BY id
+    ),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank FROM scores
+    )"""
+
+
+@query(
+    f"""
+    WITH {_ENGLISH}
+    SELECT rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 100
+    """
+)
 def search_english(spark, sf_dir):
-    return _scores(search(documents_table(spark, sf_dir), "entions oners the", 100))
+    return _scores(search(documents_table(spark, sf_dir), ENGLISH_QUERY, 100))
+
+
+@query(
+    f"""
+    WITH words AS MATERIALIZED (SELECT doc_id AS id, {english_words('text')} AS w FROM documents),
+    vocabulary AS (SELECT DISTINCT unnest(w) AS word FROM words),
+    {stems('vocabulary')}
+    SELECT id, md5(string_agg(stem || ' ' || tf, ',' ORDER BY stem)) AS terms,
+           any_value(n_words) AS len
+    FROM (
+        SELECT id, stem, count(*) AS tf, any_value(n_words) AS n_words
+        FROM (SELECT id, len(w) AS n_words, unnest(w) AS word FROM words) JOIN stems USING (word)
+        GROUP BY id, stem
+    ) GROUP BY id
+    """
+)
+def postings_english(spark, sf_dir):
+    """The postings of the English analyzer, as a digest of each document's terms."""
+    rows = build_postings(documents_table(spark, sf_dir), {"content": ENGLISH})
+    # Of one document, so bounded by its text.
+    terms = F.array_sort(F.collect_list(F.struct("term", "tf")))
+    joined = F.array_join(F.transform(terms, lambda t: F.concat_ws(" ", t["term"], t["tf"])), ",")
+    return rows.groupBy("id").agg(F.md5(joined).alias("terms"), F.max("len").cast("bigint").alias("len"))
 
 
 def _sql_cosine(a: str, b: str) -> str:

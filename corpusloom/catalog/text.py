@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..functions.models import MODEL_INPUT_BYTES
 from ..functions.pages import TITLE_ENTITIES
 from ..operators.analysis import STANDARD, build_postings, field_stats
 from ..operators.enrich import lead_summary, tfidf_tags
@@ -349,27 +350,28 @@ def embedding_dims(spark, sf_dir):
 
 
 @query(
-    """
-    SELECT doc_id AS id,
-           contains(text, chr(10)) AS many_lines,
-           true AS has_title, true AS has_content, true AS two_prompts
-    FROM documents
+    f"""
+    SELECT doc_id AS id, md5(head || cut) AS tags_part, md5(head || cut) AS summary_part,
+           md5(head || hex(encode(text))) AS whole_part
+    FROM (SELECT doc_id, text, {_sql_cut(20000)} AS cut,
+                 hex(encode('Title: Title ' || doc_id || chr(10) || chr(10))) AS head
+          FROM documents)
     """
 )
 def enrichment_prompts(spark, sf_dir):
+    """What of a document a model is given, with a limit and without one."""
     named = documents_table(spark, sf_dir).withColumn("title", F.concat(F.lit("Title "), "id"))
-    prompts = named.withColumn("p", fn.enrichment_prompts("title", "content"))
-    sent = fn.truncate_bytes("content", 20000)
+    prompts = named.withColumn(
+        "cut", fn.enrichment_prompts("title", "content", MODEL_INPUT_BYTES)
+    ).withColumn("whole", fn.enrichment_prompts("title", "content"))
+    # The part after the task, which is worded by this library.
+    rest = lambda c: F.regexp_replace(c, r"(?s)\A.*?(?=Title: )", "")
+    part = lambda c: F.md5(F.hex(rest(c).cast("binary")))
     return prompts.select(
         "id",
-        F.contains("content", F.lit("\n")).alias("many_lines"),
-        (F.contains("p.tags_prompt", "title") & F.contains("p.summary_prompt", "title")).alias(
-            "has_title"
-        ),
-        (F.endswith("p.tags_prompt", sent) & F.endswith("p.summary_prompt", sent)).alias(
-            "has_content"
-        ),
-        (F.col("p.tags_prompt") != F.col("p.summary_prompt")).alias("two_prompts"),
+        part("cut.tags_prompt").alias("tags_part"),
+        part("cut.summary_prompt").alias("summary_part"),
+        part("whole.tags_prompt").alias("whole_part"),
     )
 
 

@@ -122,3 +122,22 @@ def stem_tokens(tokens: Column | str) -> Column:
     stems of a bounded vocabulary, so a frequent word is worked out once per worker.
     """
     return _stem_arrays(as_column(tokens))
+
+
+@F.pandas_udf(T.StringType())
+def _stem_words(words: pd.Series) -> pd.Series:
+    return words.map(lambda word: None if word is None else porter_stem(word))
+
+
+def stem_words(word: Column | str) -> Column:
+    """The stem of each word; meant for tables of distinct words."""
+    return _stem_words(as_column(word))
+
+
+def stem_prefix(stem: str) -> str:
+    """What every word of this stem begins with.
+
+    The steps of the paper take suffixes away or change the last letters of what is left,
+    never more than two letters of the stem (``bility`` to ``ble``).
+    """
+    return stem[: max(1, len(stem) - 2)]

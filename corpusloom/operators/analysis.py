@@ -5,8 +5,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stemming import STOP_WORDS, porter_stem, stem_tokens
+from ..functions.stemming import STOP_WORDS, porter_stem, stem_tokens, stem_words
 from ..functions.text import as_column
+from ..plans import broadcast_if_bounded, cut_lineage, hot_keys, salted_join
 
 STANDARD = "standard"
 ENGLISH = "english"
@@ -27,8 +28,16 @@ def analyze(text: Column | str, analyzer: str = STANDARD) -> Column:
     """Token array of a text column; null text has no tokens.
 
     ``standard``: runs of letters, digits and underscores, lower-cased.
-    ``english``: also drops a possessive 's and stop words, then stems.
+    ``english``: also drops a possessive 's and stop words, then stems. Every token is
+    stemmed by itself: this is for short texts such as queries; documents go through
+    :func:`build_postings`, which stems their distinct words.
     """
+    words = analyze_words(text, analyzer)
+    return stem_tokens(words) if analyzer == ENGLISH else words
+
+
+def analyze_words(text: Column | str, analyzer: str = STANDARD) -> Column:
+    """The words of a text before any stemming, in the JVM."""
     text = F.lower(F.coalesce(as_column(text), F.lit("")))
     if analyzer == STANDARD:
         return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
@@ -36,7 +45,7 @@ def analyze(text: Column | str, analyzer: str = STANDARD) -> Column:
         raise ValueError(f"unknown analyzer {analyzer!r}")
     words = F.regexp_extract_all(text, F.lit(_WORD_OR_POSSESSIVE), F.lit(0))
     words = F.transform(words, lambda w: F.regexp_replace(w, r"['’]s$", ""))
-    return stem_tokens(F.filter(words, lambda w: ~w.isin(*STOP_WORDS)))
+    return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
 
 
 def field_text(df: DataFrame, field: str) -> Column:
@@ -96,25 +105,30 @@ def tokenize(
     fields: dict[str, str],
     id_col: str = "id",
 ) -> DataFrame:
-    """``id`` and one token array per field."""
+    """``id`` and one array per field: its words, those of English fields not stemmed."""
     return documents.select(
         F.col(id_col).alias("id"),
-        *[analyze(field_text(documents, f), a).alias(f) for f, a in fields.items()],
+        *[analyze_words(field_text(documents, f), a).alias(f) for f, a in fields.items()],
     )
 
 
-def build_postings(
+def analyze_documents(
     documents: DataFrame,
     fields: dict[str, str] | None = None,
     id_col: str = "id",
 ) -> DataFrame:
-    """Postings ``field, term, id, tf, len``; a narrow operation.
+    """``id, at, entries, lens``: each document's words per field; a narrow operation.
 
-    ``len`` is the token count of the field in the document. Carrying it with
-    every posting spares scoring a join on document lengths.
+    ``entries`` are ``field, term, tf, len``, of words that are not stemmed yet; ``lens`` are
+    ``field, len``; ``at`` is the document's ``scraped_at``, if it has one.
     """
     fields = fields or present_fields(documents)
-    tokens = tokenize(documents, fields, id_col)
+    at = F.col("scraped_at") if "scraped_at" in documents.columns else F.lit(None)
+    tokens = documents.select(
+        F.col(id_col).alias("id"),
+        at.cast("timestamp").alias("at"),
+        *[analyze_words(field_text(documents, f), a).alias(f) for f, a in fields.items()],
+    )
 
     def entries_of(field: str) -> Column:
         length = F.size(field).cast("bigint")
@@ -128,12 +142,77 @@ def build_postings(
             ),
         )
 
-    entries = [entries_of(f) for f in fields]
-    return tokens.select("id", F.inline(F.flatten(F.array(*entries)))).select(
-        "field", "term", "id", "tf", "len"
+    lens = [
+        F.struct(F.lit(f).alias("field"), F.size(f).cast("bigint").alias("len")) for f in fields
+    ]
+    entries = F.flatten(F.array(*[entries_of(f) for f in fields]))
+    return tokens.select("id", "at", entries.alias("entries"), F.array(*lens).alias("lens"))
+
+
+def postings_of(analyzed: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Postings ``field, term, id, tf, len`` of :func:`analyze_documents`.
+
+    Those of English fields are stemmed, for which the documents are read twice more.
+    """
+    # Outer: an inner one is filtered first, which would make the entries twice.
+    rows = (
+        analyzed.select("id", F.inline_outer("entries"))
+        .where(F.col("term").isNotNull())
+        .select("field", "term", "id", "tf", "len")
+    )
+    english = [f for f, a in fields.items() if a == ENGLISH]
+    if not english:
+        return rows
+    stemmed = stem_postings(rows.where(F.col("field").isin(english)))
+    if len(english) == len(fields):
+        return stemmed
+    return rows.where(~F.col("field").isin(english)).unionByName(stemmed)
+
+
+def stem_postings(postings: DataFrame) -> DataFrame:
+    """Postings of words as postings of stems.
+
+    Only distinct words are stemmed. The vocabulary is broadcast if its measured size
+    allows; else words of very many documents are salted by document. Words of one
+    stem in a document become one posting.
+    """
+    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = cut_lineage(counts.withColumn("stem", stem_words("term")))
+    small, fits = broadcast_if_bounded(vocabulary.drop("n"))
+    if fits:
+        stemmed = postings.join(small, "term")
+    else:
+        hot = hot_keys(vocabulary, ["term"], "n")
+        stemmed = salted_join(postings, vocabulary.drop("n"), ["term"], ["id"], hot)
+    return (
+        stemmed.groupBy("field", "stem", "id")
+        .agg(F.sum("tf").alias("tf"), F.max("len").alias("len"))
+        .select("field", F.col("stem").alias("term"), "id", "tf", "len")
     )
 
 
+def lengths_of(analyzed: DataFrame) -> DataFrame:
+    """``field, id, len, at`` of every document and field."""
+    return analyzed.select("id", "at", F.inline_outer("lens")).select("field", "id", "len", "at")
+
+
+def build_postings(
+    documents: DataFrame,
+    fields: dict[str, str] | None = None,
+    id_col: str = "id",
+) -> DataFrame:
+    """Postings ``field, term, id, tf, len``.
+
+    ``len`` is the token count of the field in the document. Carrying it with
+    every posting spares scoring a join on document lengths. A narrow operation for
+    standard fields; with English ones the words of the documents are written to the
+    checkpoint folder first, so that texts are read once.
+    """
+    fields = fields or present_fields(documents)
+    analyzed = analyze_documents(documents, fields, id_col)
+    return postings_of(cut_lineage(analyzed) if ENGLISH in fields.values() else analyzed, fields)
+
+
 def present_fields(documents: DataFrame) -> dict[str, str]:
     return {f: a for f, a in FIELD_ANALYZERS.items() if f in documents.columns}
 
@@ -182,8 +261,9 @@ def _length_totals(fields, size) -> list[Column]:
 class CorpusIndex:
     """Derived tables of a corpus; lazy until written (see ``sinks.index``).
 
-    ``lengths`` has ``field, id, len`` for every document and field, also where
-    ``len`` is 0, and so lists the documents the index covers.
+    ``lengths`` has ``field, id, len, at`` for every document and field, also where
+    ``len`` is 0, and so lists the documents the index covers. ``analyzed``, if there,
+    gives both in one pass (see :func:`analyze_documents`).
     """
 
     postings: DataFrame
@@ -191,17 +271,7 @@ class CorpusIndex:
     term_stats: DataFrame
     field_stats: DataFrame
     fields: dict[str, str]
-
-
-def field_lengths(
-    documents: DataFrame, fields: dict[str, str] | None = None, id_col: str = "id"
-) -> DataFrame:
-    fields = fields or present_fields(documents)
-    rows = [
-        F.struct(F.lit(f).alias("field"), F.size(f).cast("bigint").alias("len")) for f in fields
-    ]
-    lengths = tokenize(documents, fields, id_col).select("id", F.inline(F.array(*rows)))
-    return lengths.select("field", "id", "len")
+    analyzed: DataFrame | None = None
 
 
 def stats_of_lengths(lengths: DataFrame) -> DataFrame:
@@ -227,11 +297,10 @@ def build_index(
     documents: DataFrame, fields: dict[str, str] | None = None, id_col: str = "id"
 ) -> CorpusIndex:
     fields = fields or present_fields(documents)
-    postings = build_postings(documents, fields, id_col)
+    analyzed = analyze_documents(documents, fields, id_col)
+    if ENGLISH in fields.values():
+        analyzed = cut_lineage(analyzed)
+    postings, lengths = postings_of(analyzed, fields), lengths_of(analyzed)
     return CorpusIndex(
-        postings,
-        field_lengths(documents, fields, id_col),
-        term_stats(postings),
-        field_stats(documents, fields, id_col),
-        fields,
+        postings, lengths, term_stats(postings), stats_of_lengths(lengths), fields, analyzed
     )

@@ -1,13 +1,17 @@
 """BM25 search: one query over documents, a table of queries over an index."""
 
+import functools
+import operator
 from collections import Counter
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stemming import stem_prefix, stem_words
 from ..plans import hot_keys, is_bounded, salted_join
 from .analysis import (
+    ENGLISH,
     CorpusIndex,
     _length_totals,
     analyze,
@@ -87,23 +91,33 @@ def bm25_scores(
 
     Two passes over the text fields and no shuffle of documents: one aggregate
     gives a single row (count and length per field, frequency per query term),
-    whose numbers become literals of a projection that scores inside each row.
+    whose numbers become literals of a projection that scores inside each row. With
+    English fields a pass before them finds the words of the query's stems.
     """
     fields = fields or present_fields(documents)
     boosts = boosts or {}
     spark = documents.sparkSession
     analyzed = {a: analyze_text(spark, query, a) for a in set(fields.values())}
-    terms = {f: Counter(analyzed[a]) for f, a in fields.items()}
     tokens = tokenize(documents, fields, id_col)
+    forms = word_forms(tokens, fields, set(analyzed.get(ENGLISH, ())))
+    # Per field and term: how often it is asked for, and its words.
+    terms = {
+        f: [
+            (repeat, forms.get(term, []) if a == ENGLISH else [term])
+            for term, repeat in Counter(analyzed[a]).items()
+        ]
+        for f, a in fields.items()
+    }
+    terms = {f: [(n, words) for n, words in found if words] for f, found in terms.items()}
     kept = tokens.select(
         "id",
         *[F.size(f).alias(f"{f}_size") for f in fields],
-        *[_keep(f, list(terms[f])).alias(f) for f in fields if terms[f]],
+        *[_keep(f, [w for _, words in terms[f] for w in words]).alias(f) for f in fields if terms[f]],
     )
     frequencies = [
-        F.count_if(F.array_contains(f, term)).alias(f"{f}_df_{n}")
+        F.count_if(F.size(_keep(f, words)) > 0).alias(f"{f}_df_{n}")
         for f in fields
-        for n, term in enumerate(terms[f])
+        for n, (_, words) in enumerate(terms[f])
     ]
     if not frequencies:
         return kept.select("id", F.lit(None).cast("double").alias("score"))
@@ -116,10 +130,10 @@ def bm25_scores(
         avg_len = F.lit(float(stats[f"{field}_len"] / docs))
         length = F.col(f"{field}_size")
         parts = []
-        for n, (term, repeat) in enumerate(terms[field].items()):
+        for n, (repeat, words) in enumerate(terms[field]):
             df = stats[f"{field}_df_{n}"]
             if df:
-                tf = F.size(_keep(field, [term]))
+                tf = F.size(_keep(field, words))
                 idf = repeat * bm25_idf(F.lit(df), F.lit(docs))
                 parts.append(idf * bm25_weight(tf, length, avg_len, k1, b))
         total = sum(parts, F.lit(0.0))
@@ -135,6 +149,30 @@ def bm25_scores(
     return kept.select("id", F.round(best, SCORE_DIGITS).alias("score"))
 
 
+def word_forms(tokens: DataFrame, fields: dict[str, str], stems: set[str]) -> dict[str, list[str]]:
+    """The words of the English fields that have one of the query's ``stems``.
+
+    Only distinct words that begin like one of the stems are stemmed. A stem has few
+    words: what may follow it is made of the analyzer's suffixes.
+    """
+    english = [f for f, a in fields.items() if a == ENGLISH]
+    if not english or not stems:
+        return {}
+    starts = sorted({stem_prefix(stem) for stem in stems})
+
+    def near(word: Column) -> Column:
+        return functools.reduce(operator.or_, [word.startswith(start) for start in starts])
+
+    found = F.array_distinct(F.filter(F.flatten(F.array(*english)), near))
+    # An outer explode: for an inner one the words would be made twice.
+    words = tokens.select(F.explode_outer(found).alias("word")).where("word is not null").distinct()
+    stemmed = words.withColumn("stem", stem_words("word")).where(F.col("stem").isin(*stems))
+    forms: dict[str, list[str]] = {}
+    for word, stem in sorted(stemmed.collect()):
+        forms.setdefault(stem, []).append(word)
+    return forms
+
+
 def _keep(field: str, terms: list[str]) -> Column:
     return F.filter(field, lambda token: token.isin(*terms))
 

@@ -1,7 +1,7 @@
 """Writers: staged pages, manifests, the document table, the index, result rows."""
 
 from .hits import hits_preview, hits_to_json
-from .index import compact_index, open_index, update_index, write_index
+from .index import compact_index, create_index, open_index, update_index, write_index
 from .staging import manifest_rows, stage_pages, write_manifests, write_objects
 from .table import (
     compact_documents,
@@ -16,6 +16,7 @@ __all__ = [
     "compact_documents",
     "compact_index",
     "create_document_table",
+    "create_index",
     "drop_document_table",
     "hits_preview",
     "hits_to_json",

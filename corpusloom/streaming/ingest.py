@@ -14,7 +14,8 @@ from ..operators.enrich import EmbeddingModel, TextModel
 from ..operators.manifests import attach_urls
 from ..operators.metrics import split_errors
 from ..plans import cut_lineage
-from ..sinks.table import create_document_table, upsert_documents
+from ..sinks.index import create_index, update_index
+from ..sinks.table import create_document_table, latest_by_id, upsert_documents
 from ..sinks.versions import path_exists
 from ..sources.staged import (
     read_manifests,
@@ -28,7 +29,11 @@ MANIFESTS_PER_BATCH = 1000
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """Stages and layout of an ingestion; a missing model leaves its stage out."""
+    """Stages and layout of an ingestion; a missing model leaves its stage out.
+
+    ``index`` is where the search index of the table is kept current; it is made if
+    it is missing.
+    """
 
     layout: str = "tree"
     recursive: bool = False
@@ -36,6 +41,7 @@ class IngestOptions:
     make_embedding_model: Callable[[], EmbeddingModel] | None = None
     dims: int | None = None
     max_bytes: int | None = None
+    index: str | None = None
 
 
 @dataclass(frozen=True)
@@ -78,7 +84,8 @@ def ingest_scrapes(
     folders from ``prefixes`` (one manifest file each, so bounded per batch).
 
     ``scraped_at`` comes from the scrape, not the clock, so that a replay writes
-    the same documents. Rows that fail go to ``{table}/quarantine/batch={batch}``,
+    the same documents. With ``options.index`` the batch's postings are a delta of the
+    index, which a replay of the batch replaces. Rows that fail go to ``{table}/quarantine/batch={batch}``,
     which a replay of the batch replaces.
     """
     started = time.monotonic()
@@ -101,6 +108,10 @@ def ingest_scrapes(
     ).first()
     if n_good:
         upsert_documents(spark, good, table)
+        if options.index is not None:
+            create_index(spark, options.index)
+            order = (F.desc_nulls_last("scraped_at"), F.desc("content"))
+            update_index(spark, latest_by_id(good, *order), options.index, batch=batch)
     if n_pages > n_good:
         bad.select("id", "url", "scraped_at", "error").write.mode("overwrite").parquet(
             f"{table}/quarantine/batch={batch}"
@@ -209,13 +220,17 @@ def stream_ingest(
     max_files: int = MANIFESTS_PER_BATCH,
     on_result: Callable[[IngestResult], None] | None = None,
     trigger: dict | None = None,
+    index: str | None = None,
 ) -> StreamingQuery:
     """Ingest every finished scrape as its manifest appears.
 
     A batch holds at most ``max_files`` manifest files. Scrapes that fail or whose
     pages are missing are reported and the stream goes on. A replayed batch writes
-    the same documents, quarantine and failures again.
+    the same documents, quarantine and failures again. With ``index``, a batch is in the search
+    index stored there as soon as it is ingested.
     """
+    if index is not None:
+        options = replace(options, index=index)
 
     def ingest_batch(batch: DataFrame, batch_id: int) -> None:
         result = ingest_manifests(

@@ -1,10 +1,12 @@
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import functions as fn
+from corpusloom.operators.analysis import FIELD_ANALYZERS, build_index
 from corpusloom.operators.documents import build_documents
 from corpusloom.operators.lookup import get_document, get_many
 from corpusloom.operators.metrics import run_metrics, run_totals, split_errors
@@ -16,11 +18,13 @@ from corpusloom.sinks import (
     hits_preview,
     hits_to_json,
     manifest_rows,
+    open_index,
     read_document_table,
     stage_pages,
     upsert_documents,
     write_manifests,
 )
+from corpusloom.sinks.versions import live_versions
 from corpusloom.sources import (
     scan_manifests,
     scan_pages,
@@ -28,7 +32,13 @@ from corpusloom.sources import (
     scan_staged_table,
     select_sources,
 )
-from corpusloom.streaming import IngestOptions, ingest_prefix, stream_ingest, stream_manifests
+from corpusloom.streaming import (
+    IngestOptions,
+    ingest_prefix,
+    stream_ingest,
+    stream_manifests,
+)
+from corpusloom.streaming.ingest import ingest_manifests
 
 PREFIX = "scrapes/h.example:80/2024-01-02T03-04-05-0123abcd"
 PORTS = IngestOptions(recursive=True)
@@ -125,6 +135,27 @@ def test_stream_equals_batch_and_survives_a_bad_scrape(spark, tree, tmp_path):
     assert results[-1].docs_indexed == 1 and read_document_table(spark, table).count() == 5
 
 
+def test_the_stream_keeps_the_index_current(spark, tree, tmp_path):
+    table, index = str(tmp_path / "indexed"), str(tmp_path / "index")
+    stream_ingest(spark, tree, table, str(tmp_path / "at"), PORTS, max_files=1, index=index).awaitTermination()
+
+    def same():
+        fresh = build_index(read_document_table(spark, table), FIELD_ANALYZERS)
+        for name in ("postings", "lengths", "term_stats"):
+            mine, want = getattr(open_index(spark, index), name), getattr(fresh, name)
+            assert sorted(map(tuple, mine.collect())) == sorted(map(tuple, want.collect())), name
+
+    same()
+    deltas = live_versions(spark, index, "lengths/_SUCCESS")[1]
+    assert [v.batch for v in deltas] == ["0", "1"]
+    # Batch 0 comes again.
+    replayed = scan_manifests(spark, tree, PREFIX)
+    ingest_manifests(spark, tree, table, replayed, replace(PORTS, index=index), "0")
+    same()
+    deltas = live_versions(spark, index, "lengths/_SUCCESS")[1]
+    assert [v.batch for v in deltas] == ["1", "0"]
+
+
 def test_manifest_stream_is_a_stream(spark, tree):
     assert stream_manifests(spark, tree, recursive=True).isStreaming
 

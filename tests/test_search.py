@@ -1,10 +1,12 @@
 import math
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import bm25
+from corpusloom.functions.stemming import stem_words
+from corpusloom.operators import analysis, bm25
 from corpusloom.operators.analysis import (
     ENGLISH,
     STANDARD,
@@ -16,7 +18,9 @@ from corpusloom.operators.analysis import (
     term_stats,
 )
 from corpusloom.operators.bm25 import search, search_index, search_many
-from corpusloom.sinks import compact_index, open_index, update_index, write_index
+from corpusloom.plans import hot_keys
+from corpusloom.sinks import compact_index, create_index, open_index, update_index, write_index
+from corpusloom.sinks.versions import live_versions, versions
 
 DOCUMENTS = [
     ("a", "Setup guide", "# Setup\n\nInstall the tool with the package manager.", ["setup", "install"], None),
@@ -172,11 +176,84 @@ def test_index_updates(spark, documents, queries, tmp_path):
     same()
 
 
-def test_postings_are_a_narrow_operation(documents, capsys):
-    build_postings(documents).explain()
+def test_standard_postings_are_a_narrow_operation(documents, capsys):
+    build_postings(documents, {"content": STANDARD, "tags": STANDARD}).explain()
     assert "Exchange" not in capsys.readouterr().out
 
 
+@pytest.mark.parametrize("bounded", [True, False])
+def test_distinct_words_are_stemmed(spark, documents, monkeypatch, bounded):
+    """Each word once, whether the vocabulary is broadcast or joined with salted words."""
+    stemmed = []
+    monkeypatch.setattr(analysis, "stem_words", lambda c: stemmed.append(c) or stem_words(c))
+    if not bounded:
+        monkeypatch.setattr(analysis, "broadcast_if_bounded", lambda df: (df, False))
+        monkeypatch.setattr(analysis, "hot_keys", lambda c, k, n: hot_keys(c, k, n, hot_rows=1))
+    rows = build_postings(documents, FIELDS).collect()
+    assert len(stemmed) == 1
+    want = {}
+    for doc in documents.collect():
+        for field, analyzer in FIELDS.items():
+            value = doc[field]
+            tokens = [t for v in (value if isinstance(value, list) else [value or ""])
+                      for t in analyze_text(spark, v, analyzer)]
+            for term in tokens:
+                want[field, term, doc["id"]] = (tokens.count(term), len(tokens))
+    assert {(r.field, r.term, r.id): (r.tf, r.len) for r in rows} == want and len(rows) == len(want)
+
+
+def test_stemming_sees_one_row_per_word(documents, monkeypatch):
+    written = []
+    cut = analysis.cut_lineage
+    monkeypatch.setattr(analysis, "cut_lineage", lambda df: written.append(df) or cut(df))
+    build_postings(documents, FIELDS)
+    vocabulary = written[-1]
+    assert vocabulary.columns == ["term", "n", "stem"]
+    plan = vocabulary._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Aggregate") and plan.count("EvalPython") == 1
+
+
+def test_word_forms(spark, documents):
+    tokens = analysis.tokenize(documents, FIELDS)
+    assert bm25.word_forms(tokens, FIELDS, {"set", "instal", "zzz"}) == {"set": ["settings"], "instal": ["install"]}
+    assert bm25.word_forms(tokens, {"title": STANDARD}, {"set"}) == {}
+
+
+def test_replayed_and_late_batches(spark, documents, queries, tmp_path):
+    """A batch that comes again replaces its delta; an older version is not found."""
+    root = str(tmp_path / "index")
+    schema = "id string, title string, content string, tags array<string>, summary string, scraped_at timestamp"
+    at = lambda day: datetime(2024, 1, day)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    create_index(spark, root, FIELDS)
+    create_index(spark, root, FIELDS)
+    assert search_index(open_index(spark, root), "people", 5).count() == 0
+    first = frame(("a", "People", "people", None, None, at(2)), ("b", "Tool", "tools", None, None, at(2)))
+    second = frame(("a", "None", "nobody", None, None, at(3)), ("c", "Tool", "", [], None, None))
+    late = frame(("a", "People", "people", None, None, at(1)), ("b", "Old", "old", None, None, None))
+
+    def found(*rows):
+        index = open_index(spark, root)
+        fresh = build_index(frame(*rows), FIELDS)
+        assert sorted(search_many(index, queries, 9).collect()) == sorted(search_many(fresh, queries, 9).collect())
+        assert sorted(index.lengths.collect()) == sorted(fresh.lengths.collect())
+
+    update_index(spark, first, root, batch="7")
+    update_index(spark, second, root, batch="8")
+    want = [second.collect()[0], first.collect()[1], second.collect()[1]]
+    found(*want)
+    numbers = [v.number for v in live_versions(spark, root, "lengths/_SUCCESS")[1]]
+    update_index(spark, first, root, batch="7")  # a replay, after a later batch
+    found(*want)
+    update_index(spark, late, root, batch="9")
+    found(*want)
+    deltas = live_versions(spark, root, "lengths/_SUCCESS")[1]
+    assert [v.batch for v in deltas] == ["8", "7", "9"] and len(numbers) == 2
+    assert len([v for v in versions(spark, root) if v.kind == "delta"]) == 0  # marked in lengths
+    compact_index(spark, root)
+    found(*want)
+
+
 def test_postings_and_statistics(documents):
     fields = {"content": STANDARD, "tags": STANDARD}
     postings = build_postings(documents, fields)

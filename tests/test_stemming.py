@@ -1,4 +1,6 @@
-from corpusloom.functions.stemming import porter_stem
+import random
+
+from corpusloom.functions.stemming import STEP_2, STEP_3, STEP_4, porter_stem, stem_prefix
 from corpusloom.operators.analysis import ENGLISH, STANDARD, analyze, analyze_text
 
 # Examples of the 1980 paper.
@@ -45,3 +47,13 @@ def test_driver_and_column_analysis_agree(spark, column):
     for analyzer in (STANDARD, ENGLISH):
         by_column = column(lambda c: analyze(c, analyzer), texts)
         assert [analyze_text(spark, t, analyzer) for t in texts] == by_column
+
+
+def test_words_begin_like_their_stem():
+    rng = random.Random(9)
+    ends = [*STEP_2, *STEP_3, *STEP_4, "s", "es", "ies", "sses", "ed", "eed", "ing", "y", "e", "bility", "ability", "ll", ""]
+    for _ in range(200_000):
+        word = "".join(rng.choice("abeilotsy") for _ in range(rng.randrange(0, 6)))
+        word += "".join(rng.choice(ends) for _ in range(rng.randrange(0, 4)))
+        if word:
+            assert word.startswith(stem_prefix(porter_stem(word))), word

@@ -4,6 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from corpusloom import functions as fn
+from corpusloom.functions.models import MODEL_INPUT_BYTES
 
 
 def test_document_id(column):
@@ -74,6 +75,7 @@ def test_object_keys(spark):
 def test_model_facts(column):
     names = ["ai/embeddinggemma", "ai/snowflake-arctic-embed", "ai/qwen3-embedding", "unknown"]
     assert column(fn.embedding_dims, names) == [768, 1024, 2560, 768]
-    tags, summary = column(fn.enrichment_prompts, [("My title", "x" * 30_000)])[0]
-    for prompt in (tags, summary):
-        assert "My title" in prompt and prompt.count("x" * 20_000) == 1 and "x" * 20_001 not in prompt
+    cut = lambda title, content: fn.enrichment_prompts(title, content, MODEL_INPUT_BYTES)
+    for prompts, size in ((cut, 20_000), (fn.enrichment_prompts, 30_000)):
+        for prompt in column(prompts, [("My title", "x" * 30_000)])[0]:
+            assert "My title" in prompt and prompt.endswith("x" * size) and "x" * (size + 1) not in prompt
