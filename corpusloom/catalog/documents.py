@@ -130,6 +130,31 @@ def crawl_by_depth(spark, sf_dir):
     return crawl_frontier(seeds, _made_edges(spark, sf_dir), 5)
 
 
+@query(
+    f"""
+    WITH RECURSIVE edges AS (
+        SELECT a.page_id AS i, b.page_id AS j FROM pages a JOIN pages b
+        ON b.page_id BETWEEN 4 * a.page_id + 1 AND 4 * a.page_id + 4
+        UNION ALL SELECT page_id, 0 FROM pages
+    ),
+    walk AS (
+        SELECT page_id AS seed, page_id AS i, 1 AS depth FROM pages
+        UNION
+        SELECT seed, j, depth + 1 FROM walk JOIN edges USING (i) WHERE depth < 5
+    )
+    SELECT '{_SITE}' || seed AS seed_url,
+           '{_SITE}' || i || CASE WHEN i = 0 AND seed <> 0 THEN '#again' ELSE '' END AS url,
+           min(depth) AS depth
+    FROM walk GROUP BY seed, i
+    """,
+    name="crawl_from_all_pages",
+)
+def crawl_by_bitmaps(spark, sf_dir):
+    """Every page is a seed: a round has a row per URL, not per seed and URL."""
+    seeds = table(spark, sf_dir, "pages").select(F.concat(F.lit(_SITE), "page_id").alias("url"))
+    return crawl_frontier(seeds, _made_edges(spark, sf_dir), 5, bitmap_seeds=1)
+
+
 @query(
     f"""
     WITH RECURSIVE walk AS (

@@ -1,5 +1,9 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import links
 from corpusloom.operators.links import (
     crawl,
     crawl_frontier,
@@ -7,6 +11,7 @@ from corpusloom.operators.links import (
     pages_in_frontier,
 )
 from corpusloom.operators.variants import prefer_markdown_variant
+from corpusloom.plans import dense_numbers
 from corpusloom.schemas import PAGE_SCHEMA
 from corpusloom.sources import drop_http_errors
 
@@ -110,3 +115,46 @@ def test_a_crawl_without_a_bound_ends_by_itself_only(spark):
     seeds = spark.createDataFrame([("https://h.example/0",)], "url string")
     found = crawl_frontier(seeds, edges, 0).collect()
     assert sorted(row["depth"] for row in found) == list(range(1, 55))
+
+
+@pytest.mark.parametrize("max_depth", [0, 2, 3, 5])
+def test_bitmaps_equal_pairs(spark, max_depth):
+    """Every page a seed, on several hosts, with cycles, hubs and spellings of one page."""
+    rng = random.Random(max_depth)
+    pages = [f"https://h{n % 3}.example/p{n}" for n in range(120)]
+    edges = []
+    for n, page in enumerate(pages):
+        for _ in range(rng.randrange(4)):
+            other = pages[(n + 3 * rng.randrange(40)) % 120] if rng.random() < 0.9 else rng.choice(pages)
+            edges.append((page, other + rng.choice(["", "#a", "#b"])))
+        edges.append((page, f"https://h{n % 3}.example/hub#{n}"))
+    edges += [("https://h0.example/hub", "https://h0.example/p0"), (pages[0], "https://h0.example/end")]
+    edges = spark.createDataFrame(edges, "src_url string, dst_url string")
+    seeds = spark.createDataFrame([(page,) for page in pages + [pages[0] + "#x"]], "url string")
+
+    def reached(least):
+        found = crawl_frontier(seeds, edges, max_depth, bitmap_seeds=least)
+        return sorted(map(tuple, found.collect()))
+
+    pairs = reached(10**9)
+    assert len(pairs) > 300 and reached(0) == pairs
+
+
+def test_a_round_of_bitmaps_has_a_row_per_url(spark, monkeypatch):
+    pages = [f"https://h.example/{n}" for n in range(300)]
+    edges = [(page, pages[(n * 7 + k) % 300]) for n, page in enumerate(pages) for k in (1, 2, 3)]
+    sizes = []
+    unseen = links._unseen
+    monkeypatch.setattr(links, "_unseen", lambda *a: sizes.append(unseen(*a)) or sizes[-1])
+    found = crawl_frontier(
+        spark.createDataFrame([(p,) for p in pages], "url string"),
+        spark.createDataFrame(edges, "src_url string, dst_url string"), 4, bitmap_seeds=0)
+    assert found.count() > 20 * len(pages)
+    assert [rows.count() for rows in sizes] == [300, 300, 300]
+
+
+def test_dense_numbers(spark):
+    frame = spark.range(1000).repartition(7).select((F.col("id") * 3).alias("k"))
+    rows = dense_numbers(frame, ["k"], "number").collect()
+    assert sorted((r["number"], r["k"]) for r in rows) == [(n, 3 * n) for n in range(1000)]
+    assert dense_numbers(frame.where("k < 0"), ["k"], "number").count() == 0
