@@ -10,11 +10,11 @@ import sys
 sys.path.insert(0, str(Path(__file__).parent))
 
 import public_tokenizers  # noqa: E402
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from corpusloom.llm.byte_bpe import decode_documents, encode_documents  # noqa: E402
-from corpusloom.llm.common import WORD, work_table  # noqa: E402
+from corpusloom.llm.common import WORD, free_names, work_table  # noqa: E402
 from corpusloom.llm.decontamination import contaminated  # noqa: E402
 from corpusloom.llm.jaccard_join import similar_documents  # noqa: E402
 from corpusloom.llm.line_dedup import dedup_lines  # noqa: E402
@@ -47,34 +47,54 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return _with_text(found.where((F.col("n_removed_lines") == 0) | left), docs.columns)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells documents apart: a hash of id and text.
+
+    Rows of one id and text are one document; rows of one id and other texts, and rows
+    without an id, are documents of their own.
+    """
+    (key,) = free_names(docs, 1)
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")), key
+
+
 def drop_similar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar ones: that with the smallest id.
 
-    Rows of one id are one document, of which the row with the smallest hash stays.
+    A null id comes after all others. Of a document that is there in several rows, one stays.
     """
     ship_package(spark)
-    firsts = (
-        similar_documents(docs)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
+    keyed, key = _keyed(docs)
+    similar = similar_documents(keyed.select(F.col(key).alias("doc_id"), "text"))
+    ids = keyed.groupBy(F.col(key).alias("key")).agg(
+        F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")
     )
-    rows = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return (
-        docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-        .withColumn("_row", F.row_number().over(rows))
-        .where("_row = 1")
-        .drop("_row")
+    members = similar.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    members = work_table(members.join(ids, "key"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")
+    best = members.groupBy("component_id").agg(F.min(order).alias("best"))
+    chosen = best.select(F.col("best.key").alias("key"))
+    gone = work_table(members.join(chosen, "key", "left_anti").select(F.col("key").alias(key)))
+    repeated = work_table(
+        members.where("n > 1").join(chosen, "key", "left_semi").select(F.col("key").alias(key))
     )
+    left_out, _ = broadcast_if_bounded(gone.union(repeated))
+    several, _ = broadcast_if_bounded(repeated)
+    single = keyed.join(left_out, key, "left_anti").select(*docs.columns)
+    # A row of each is kept in every task, before the shuffle.
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    again = keyed.join(several, key, "left_semi").groupBy(key).agg(row).select("row.*")
+    return single.unionByName(again)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    pairs = work_table(contaminated(docs, benchmark))
-    found, _ = broadcast_if_bounded(pairs.select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    keyed, key = _keyed(docs)
+    pairs = contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    leaks = work_table(pairs.select(F.col("doc_id").alias(key)).distinct())
+    found, _ = broadcast_if_bounded(leaks)
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
