@@ -39,6 +39,15 @@ def work_table(df: DataFrame, partition_by: list[str] | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete the files of work tables that nothing reads any more."""
+    for table in tables:
+        for path in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            conf = table.sparkSession._jsc.hadoopConfiguration()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def free_names(df: DataFrame, count: int) -> list[str]:
     """Column names that ``df`` does not have, in any case."""
     taken = {name.lower() for name in df.columns}

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as engine
 import corpus_pipeline
@@ -16,7 +17,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_registration():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) < set(engine.queries())
     assert "pipeline" in engine.queries()
 
@@ -84,6 +85,28 @@ def test_similar_documents_leave_one_of_each_group(spark):
     assert sorted(row["doc_id"] for row in found) == [1, 4, 5, 9]
 
 
+def test_documents_without_id_or_of_one_id_stay_apart(spark):
+    rows = [(key, f"text {n} of its own", "en", "s", n) for n, key in enumerate([None, None, 7, 7])]
+    rows += [(None, "leak " * 20 + "of words", None, None, 9), (7, None, None, None, None), (7, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = corpus_pipeline.drop_similar_documents(spark, docs, "").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted({str(row) for row in rows})
+    extra = docs.withColumn("own_0", F.lit(1)).withColumn("_leak", F.lit(2)).withColumn("key", F.lit(3))
+    found = corpus_pipeline.drop_similar_documents(spark, extra, "")
+    assert found.columns == extra.columns and found.count() == len(set(rows))
+
+
+def test_a_leak_without_id_goes_alone(spark, tmp_path):
+    words = " ".join(f"word{n}" for n in range(30))
+    rows = [(None, f"before {words} after", "en", "s", 1), (None, "something else", "en", "s", 1), (1, "clean", "en", "s", 1)]
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("_leak", F.lit(1))
+    found = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    assert sorted(row["text"] for row in found.collect()) == ["clean", "something else"]
+
+
 def test_empty_documents(spark, tables):
     sf_dir = tables[0]
     docs = spark.createDataFrame([], SCHEMA)
