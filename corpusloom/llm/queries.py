@@ -173,7 +173,7 @@ _LINE = (
         SELECT w.source, plain FROM worded w JOIN hosts h
             ON w.source IS NOT DISTINCT FROM h.source
         GROUP BY w.source, plain, total
-        HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) * 100 > total * 10
+        HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) * 100 > total
     ), removed AS (
         SELECT doc_id, count(*) AS n_removed_lines, sum(n) AS removed_words
         FROM worded w JOIN frequent f

@@ -98,6 +98,33 @@ def test_depleted_document_is_rejected(spark, monkeypatch):
     assert all(not row["kept"] and row["clean_text"].startswith("own") for row in found)
 
 
+def test_lines_of_few_percent_and_hosts_in_parts(spark, monkeypatch):
+    letters = lambda n: "".join(chr(97 + int(digit)) for digit in str(n))
+    rows = []
+    for k in range(900):
+        own = [f"{letters(k)}x{letters(i)} of document {letters(k)}" for i in range(12)]
+        lines = (["Share this page"] if k % 30 == 0 else []) + (["Rare line"] if k % 60 == 0 else []) + own
+        rows.append((k, "\n".join(lines), "h"))
+    rows += [(900, "Share this page\n" + "z", "other"), (901, None, "h"), (None, "Share this page", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    broadcast = {row["doc_id"]: row for row in quality_rules(docs).collect()}
+    # 30 of 901 texts are above the limits, 15 are too few.
+    assert all(broadcast[k]["n_removed_lines"] == int(k % 30 == 0) for k in range(900))
+    assert "Rare line" in broadcast[60]["clean_text"] and broadcast[900]["n_removed_lines"] == 0
+    monkeypatch.setattr(rules, "broadcast_if_bounded", lambda df: (df, False))
+    parts = {row["doc_id"]: row for row in quality_rules(docs, hot_rows=100).collect()}
+    assert parts == broadcast
+
+
+def test_columns_named_like_inner_ones(spark):
+    names = ["frequent", "host", "line", "_words", "_splits", "_salt", "own_0", "own_1", "own_3", "N_WORDS", "_rules"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{name} string" for name in names)
+    rows = [(k, "a b c a b c a\nsame line", "h", *names) for k in range(2)]
+    for found in quality_rules(spark.createDataFrame(rows, schema)).collect():
+        assert [found[name] for name in names if name != "N_WORDS"] == [n for n in names if n != "N_WORDS"]
+        assert found["n_words"] == 9 and found["n_repeat_words"] == 7
+
+
 # The classifier.
 
 
