@@ -5,6 +5,10 @@ the documents are looked up among those of the benchmark; where a window agrees,
 tokens are compared and the slots must be filled consistently: the same benchmark
 value always by the same document value, and different ones by different ones. That
 finds questions whose parameters were changed, besides verbatim ones.
+
+There are two canonical forms. In the strict one a capitalised word that opens a
+sentence is a word; in the loose one it is a name unless it is a function word, as the
+names of word problems often open sentences.
 """
 
 from collections import defaultdict
@@ -19,8 +23,12 @@ from .common import span_hashes, text_blocks, window_hashes, word_spans
 
 #: Tokens in a window. A shorter item is one window, with its first token and without.
 WINDOW = 13
-#: Tokens of a window that must be literal words, in percent.
+#: Literal words, in percent, from which a window counts by itself. One with fewer counts
+#: if the whole item stands there, filled consistently.
 LITERAL_PERCENT = 50
+#: Fewest tokens of an item that is found by windows of fewer literal words. They need one
+#: literal that is no function word.
+SLOT_ITEM = 4
 #: Benchmark text that one pass over the documents looks for.
 PASS_BYTES = 16 << 20
 #: Words that count as units after a number. Fixed values.
@@ -31,7 +39,19 @@ UNITS = frozenset(
     "dollar dollars cent cents euro euros percent degree degrees".split()
 )
 
+#: Words that are no names where they open a sentence. Fixed values.
+FUNCTION_WORDS = frozenset(
+    "a about after all also an and any are as at be because before both but by can could did do "
+    "does during each either every few find finally first for from given had has have he her here "
+    "his how however i if in into is it its last later let many more most my next no not now of on "
+    "one or other our she should since so some such suppose than that the their then there these "
+    "they this those though thus to two under until was we were what when where whether which while "
+    "who whose why will with would you your".split()
+)
+
 LITERAL, NUMBER, NAME, UNIT = range(4)
+#: Ways to look at tokens: as they are, strict and loose canonical form.
+PLAIN, STRICT, LOOSE = range(3)
 _MARKS = (b"<literal>", b"<number>", b"<name>", b"<unit>")
 _NEWLINE = ord("\n")
 
@@ -57,9 +77,15 @@ def _hashes_of(words: list[bytes]) -> np.ndarray:
 
 
 _UNIT_HASHES = np.sort(_hashes_of([unit.encode() for unit in sorted(UNITS)]))
+_FUNCTION_HASHES = np.sort(_hashes_of([word.encode() for word in sorted(FUNCTION_WORDS)]))
 _MARK_HASHES = _hashes_of(list(_MARKS))
 
 
+def _is_in(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return known[place] == hashes
+
+
 def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     parts = [text.encode() for text in texts]
     offsets = np.concatenate(([0], np.cumsum([len(part) for part in parts]))).astype(np.int64)
@@ -89,7 +115,8 @@ class Tokens:
 
     Words are separated by ASCII white space; those that are punctuation alone are
     left out. A number begins with a digit; a unit follows a number; a name is a
-    capitalised word (not all capitals) after another word of the same sentence.
+    capitalised word (not all capitals) after another word of the same sentence. In
+    ``loose`` it is one anywhere, unless it is a function word.
     """
 
     def __init__(self, texts: list[str]):
@@ -99,16 +126,25 @@ class Tokens:
         self.literal = span_hashes(self.data, self.starts, self.ends)
         n = len(self.starts)
         self.kinds = np.zeros(n, dtype=np.int8)
+        self.loose = np.zeros(n, dtype=np.int8)
+        self.function = _is_in(self.literal, _FUNCTION_HASHES)
         if n:
             self._find_kinds(*_joined(texts))
-        marked = self.kinds != LITERAL
-        self.canonical = np.where(marked, _MARK_HASHES[self.kinds], self.literal)
+
+    def kinds_in(self, form: int) -> np.ndarray:
+        return self.loose if form == LOOSE else self.kinds
+
+    def codes(self, form: int) -> np.ndarray:
+        """Hashes of the tokens or, in a canonical form, of the marks of slots."""
+        if form == PLAIN:
+            return self.literal
+        kinds = self.kinds_in(form)
+        return np.where(kinds != LITERAL, _MARK_HASHES[kinds], self.literal)
 
     def _find_kinds(self, raw: np.ndarray, offsets: np.ndarray) -> None:
         starts, ends, core, core_end, real = _cores(raw, offsets)
         number = _DIGIT[raw[core]]
-        place = np.searchsorted(_UNIT_HASHES, self.literal)
-        unit = _UNIT_HASHES[np.minimum(place, len(_UNIT_HASHES) - 1)] == self.literal
+        unit = _is_in(self.literal, _UNIT_HASHES)
         opens = np.zeros(len(core) + 1, dtype=bool)
         opens[self.first] = True  # first word of its text
         unit[1:] &= number[:-1] & ~opens[1:-1]
@@ -121,19 +157,21 @@ class Tokens:
         inside[1:] &= text_of[1:] == text_of[:-1]
         capital, after = _capital(raw, core)
         again, _ = _capital(raw, np.minimum(after, len(raw) - 1))
-        name = capital & inside[real] & ~(again & (after < core_end))
-        self.kinds[name] = NAME
-        self.kinds[number] = NUMBER
-        self.kinds[unit & ~number] = UNIT
+        capitalised = capital & ~(again & (after < core_end))
+        names = capitalised & inside[real], capitalised & ~self.function
+        for kinds, name in zip((self.kinds, self.loose), names):
+            kinds[name] = NAME
+            kinds[number] = NUMBER
+            kinds[unit & ~number] = UNIT
 
     def word(self, at: int) -> bytes:
         return self.data[self.starts[at] : self.ends[at]].tobytes()
 
 
 class TemplateIndex:
-    """Windows of benchmark items by the hash of their tokens.
+    """Windows of benchmark items by the hash of their tokens, in every form.
 
-    Literal windows are kept beside the canonical ones, for copies whose letters
+    Plain windows are kept beside the canonical ones, for copies whose letters
     changed case.
     """
 
@@ -149,11 +187,8 @@ class TemplateIndex:
                 spans = [(0, n), (1, n - 1)] if n > 1 else [(0, n)] if n else []
             for start, width in spans:
                 part = slice(first + start, first + start + width)
-                literals = int((self.tokens.kinds[part] == LITERAL).sum())
-                codes = {int(window_hashes(self.tokens.literal[part], width)[0])}
-                if 100 * literals >= LITERAL_PERCENT * width:
-                    codes.add(int(window_hashes(self.tokens.canonical[part], width)[0]))
-                found[width].update((code, number, start) for code in codes)
+                for form, code in self._codes(part, n):
+                    found[width].add((code, number, start, form))
         self.by_width = {}
         for width, rows in found.items():
             rows = sorted(rows)
@@ -162,7 +197,24 @@ class TemplateIndex:
             seen[codes >> np.uint64(42)] = True
             self.by_width[width] = (codes, seen, [row[1:] for row in rows])
 
-    def candidates(self, hashes: np.ndarray, first: np.ndarray):
+    def _codes(self, part: slice, n: int) -> Iterator[tuple[int, int]]:
+        """Forms in which a window of an item of ``n`` tokens is looked up, and its codes."""
+        width = part.stop - part.start
+        plain = int(window_hashes(self.tokens.literal[part], width)[0])
+        yield PLAIN, plain
+        for form in (STRICT, LOOSE):
+            literal = self.tokens.kinds_in(form)[part] == LITERAL
+            telling = n >= SLOT_ITEM and bool((literal & ~self.tokens.function[part]).any())
+            if telling or not self._is_slotted(literal):
+                code = int(window_hashes(self.tokens.codes(form)[part], width)[0])
+                if code != plain:
+                    yield form, code
+
+    @staticmethod
+    def _is_slotted(literal: np.ndarray) -> bool:
+        return 100 * int(literal.sum()) < LITERAL_PERCENT * len(literal)
+
+    def candidates(self, hashes: np.ndarray, first: np.ndarray, form: int):
         """(document, place in it, item, place in it, width) of equal window hashes."""
         for width, (codes, seen, rows) in self.by_width.items():
             windows = window_hashes(hashes, width)
@@ -173,52 +225,75 @@ class TemplateIndex:
             docs = np.searchsorted(first, places[hit], side="right") - 1
             for at, doc, a, b in zip(places[hit], docs, low[hit], high[hit]):
                 if at + width <= first[doc + 1]:
-                    for number, start in rows[a:b]:
-                        yield int(doc), int(at - first[doc]), number, start, width
+                    for number, start, of_form in rows[a:b]:
+                        if of_form == form:
+                            yield int(doc), int(at - first[doc]), number, start, width
 
-    def verdict(self, tokens: Tokens, doc: int, number: int, shift: int, spans) -> tuple[int, int]:
+    def verdict(
+        self, tokens: Tokens, doc: int, number: int, shift: int, form: int, spans
+    ) -> tuple[set, set]:
         """Exact and template windows of one alignment of an item with a document.
 
         ``shift`` is the place in the document minus that in the item. If the slots
-        of the alignment are not filled consistently, only exact windows count.
+        of the alignment are not filled consistently, only exact windows count. Windows
+        of mostly slots count if the whole item agrees.
         """
         mine, own = tokens.first[doc] + shift, self.tokens.first[number]
-        exact = same = 0
+        my_kinds, kinds = tokens.kinds_in(form), self.tokens.kinds_in(form)
+        exact, same, slotted = set(), set(), set()
         fills: dict[bytes, bytes] = {}
         backs: dict[bytes, bytes] = {}
         consistent = True
-        for start, width in spans:
+
+        def compare(start: int, width: int) -> tuple[bool, bool]:
+            nonlocal consistent
             equal = alike = True
             for k in range(start, start + width):
                 word, asked = tokens.word(mine + k), self.tokens.word(own + k)
-                kind = self.tokens.kinds[own + k]
-                slot = kind != LITERAL
+                slot = kinds[own + k] != LITERAL
                 if word != asked:
                     equal = False
-                    alike &= bool(slot and tokens.kinds[mine + k] == kind)
+                    alike &= bool(slot and my_kinds[mine + k] == kinds[own + k])
                 if slot:
                     consistent &= fills.setdefault(asked, word) == word
                     consistent &= backs.setdefault(word, asked) == asked
-            exact += equal
-            same += alike and not equal
-        return exact, same if consistent else 0
+            return equal, alike
+
+        for start, width in spans:
+            equal, alike = compare(start, width)
+            literal = kinds[own + start : own + start + width] == LITERAL
+            chosen = exact if equal else slotted if self._is_slotted(literal) else same
+            if alike:
+                chosen.add((shift, start, width))
+        if slotted and consistent:
+            n = self.tokens.first[number + 1] - own
+            inside = shift >= 0 and mine + n <= tokens.first[doc + 1]
+            if inside and compare(0, n)[1] and consistent:
+                same |= slotted
+            else:
+                # What lies outside the windows speaks against the slotted ones only.
+                consistent = True
+        return exact, same if consistent else set()
 
 
 def find_leaks(texts: list[str], index: TemplateIndex) -> Iterator[tuple[int, int, str, int]]:
     """(text number, item key, kind, windows) of texts that hold windows of items."""
     tokens = Tokens(texts)
     alignments = defaultdict(set)
-    for hashes in (tokens.literal, tokens.canonical):
-        for doc, at, number, start, width in index.candidates(hashes, tokens.first):
-            alignments[doc, number, at - start].add((start, width))
-    found = defaultdict(lambda: [0, 0])
-    for (doc, number, shift), spans in alignments.items():
-        exact, same = index.verdict(tokens, doc, number, shift, sorted(spans))
-        found[doc, number][0] += exact
-        found[doc, number][1] += same
+    for form in (PLAIN, STRICT, LOOSE):
+        hits = index.candidates(tokens.codes(form), tokens.first, form)
+        for doc, at, number, start, width in hits:
+            # Plain windows are slots filled by themselves, for the strict form.
+            key = doc, number, at - start, max(form, STRICT)
+            alignments[key].add((start, width))
+    found = defaultdict(lambda: (set(), set()))
+    for (doc, number, shift, form), spans in alignments.items():
+        verdict = index.verdict(tokens, doc, number, shift, form, sorted(spans))
+        for windows, new in zip(found[doc, number], verdict):
+            windows |= new
     for (doc, number), (exact, same) in sorted(found.items()):
         if exact or same:
-            yield doc, index.keys[number], "exact" if exact else "template", exact + same
+            yield doc, index.keys[number], "exact" if exact else "template", len(exact | same)
 
 
 LEAK_SCHEMA = "doc_id long, item_id long, kind string, n_windows long"

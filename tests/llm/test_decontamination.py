@@ -1,3 +1,5 @@
+from random import Random
+
 from corpusloom.llm.decontamination import (
     LITERAL,
     NAME,
@@ -47,6 +49,94 @@ def test_inconsistent_slots_are_no_leak():
     assert leaks(same_name) == []
 
 
+TOM = "Tom has 3 apples. Ann buys 4 more pears today. Tom sells 2 to the shop."
+
+
+def test_names_that_open_sentences():
+    changed = [
+        TOM.replace("Ann", "Eve"),
+        TOM.replace("Tom", "Max").replace("3", "8").replace("4", "9").replace("2", "6"),
+        "So it goes: " + TOM.replace("Ann", "Eve").replace("3", "31"),
+    ]
+    assert [row[:3] for row in leaks(*changed, items=[(5, TOM)])] == [(k, 5, "template") for k in range(3)]
+    # One name for two, and two for one.
+    assert leaks(TOM.replace("Ann", "Tom"), TOM.replace("Tom", "Max", 1).replace("Ann", "Max"), items=[(5, TOM)]) == []
+    # A function word is not a name.
+    question = TOM.replace("Ann", "She")
+    assert leaks(question.replace("She", "Eve"), items=[(5, question)]) == []
+
+
+def test_items_of_mostly_slots():
+    item = "Compute 12 + 34 - 56"
+    assert [row[:3] for row in leaks("Compute 77 + 31 - 5", item, items=[(1, item)])] == [(0, 1, "template"), (1, 1, "exact")]
+    assert leaks("Compute 77 + 77 - 5", "Divide 77 + 31 - 5", "77 + 31 - 5", items=[(1, item)]) == []
+    long = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 up"
+    other = "Add " + " ".join(str(k) for k in range(101, 116))
+    assert [row[:2] for row in leaks(other + " up", other + " down", items=[(1, long)])] == [(0, 1)]
+
+
+def by_brute_force(text, items, window=13):
+    """Items with a window that agrees with the text, by all alignments of both."""
+    found = set()
+    mine = Tokens([text])
+    words = [mine.word(k) for k in range(len(mine.starts))]
+    for key, item in items:
+        own = Tokens([item])
+        asked = [own.word(k) for k in range(len(own.starts))]
+        n = len(asked)
+        spans = [(i, i + window) for i in range(n - window + 1)] if n > window else [(0, n), (1, n)]
+        spans = [(a, b) for a, b in spans if b > a]
+        for shift in range(-n, len(words)):
+            for my_kinds, kinds in ((mine.kinds, own.kinds), (mine.loose, own.loose)):
+
+                def agrees(a, b):
+                    if shift + a < 0 or shift + b > len(words):
+                        return False
+                    return all(
+                        words[shift + k] == asked[k] or (kinds[k] != LITERAL and my_kinds[shift + k] == kinds[k])
+                        for k in range(a, b)
+                    )
+
+                def one_to_one(ranges):
+                    pairs = {(asked[k], words[shift + k]) for a, b in ranges for k in range(a, b) if kinds[k] != LITERAL}
+                    return len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+
+                good = [(a, b) for a, b in spans if agrees(a, b)]
+                if any(words[shift + a : shift + b] == asked[a:b] for a, b in good):
+                    found.add(key)
+                rich = [(a, b) for a, b in good if 2 * sum(kinds[a:b] == LITERAL) >= b - a]
+                telling = [
+                    (a, b) for a, b in good
+                    if n >= 4 and any(kinds[k] == LITERAL and not own.function[k] for k in range(a, b))
+                ]
+                if rich and one_to_one({*rich, *telling}):
+                    found.add(key)
+                if telling and agrees(0, n) and one_to_one([(0, n)]):
+                    found.add(key)
+    return found
+
+
+def test_against_brute_force():
+    random = Random(7)
+    names, words = ["Tom", "Ann", "Eve", "The"], ["has", "buys", "kg", "apples", "of", "NATO"]
+
+    def sentence(n):
+        parts = [random.choice(random.choice([names, words, words, ["3", "4", "15"]])) for _ in range(n)]
+        return " ".join(part + random.choice(["", "", "", ".", "\n"]) for part in parts)
+
+    items = [(k, sentence(random.choice([1, 2, 4, 6, 13, 15, 20]))) for k in range(40)]
+    swaps = [("Tom", "Max"), ("Ann", "Eve"), ("3", "8"), ("4", "15"), ("has", "sells")]
+    texts = []
+    for _, item in items:
+        text = item
+        for old, new in random.sample(swaps, random.randrange(4)):
+            text = text.replace(old, new, random.choice([1, 9]))
+        texts.append(sentence(3) + " " + text + " " + sentence(random.randrange(5)))
+    found = {(doc, key) for doc, key, _, _ in leaks(*texts, items=items)}
+    wanted = {(doc, key) for doc, text in enumerate(texts) for key in by_brute_force(text, items)}
+    assert found == wanted and 20 < len({doc for doc, _ in wanted})
+
+
 def test_clean_and_odd_texts():
     assert leaks("", "the cat", " ".join(OTHER.split()[:12]), "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15") == []
     assert leaks("x", items=[(1, ""), (2, "!!"), (3, "1 2 3")]) == []
