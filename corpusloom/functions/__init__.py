@@ -12,7 +12,7 @@ from .markdown import (
 )
 from .models import embedding_dims, enrichment_prompts
 from .pages import html_title, html_to_markdown
-from .text import parse_tags, trim_ws, truncate_bytes
+from .text import decode_references, parse_tags, trim_ws, truncate_bytes
 from .urls import (
     absolute_url,
     document_id,
@@ -27,6 +27,7 @@ from .urls import (
 
 __all__ = [
     "absolute_url",
+    "decode_references",
     "detect_markdown",
     "document_id",
     "embedding_dims",

@@ -1,11 +1,9 @@
 """URL and object-key functions."""
 
-from urllib.parse import urljoin
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .markdown import is_markdown_url
 from .text import as_column
@@ -22,15 +20,39 @@ def url_host(url: Column | str) -> Column:
     return F.regexp_replace(authority, r"^.*@", "")
 
 
-@F.pandas_udf(T.StringType())
-def _join_relative(base: pd.Series, href: pd.Series) -> pd.Series:
-    def join(pair):
-        try:
-            return urljoin(*pair)
-        except ValueError:
-            return None
+def _once(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
 
-    return pd.Series([None if h is None or b is None else join((b, h)) for b, h in zip(base, href)])
+
+def _without_dots(path: Column) -> Column:
+    """Fold dot segments: ``.`` names the folder itself, ``..`` the one above."""
+
+    def step(parts: Column, part: Column) -> Column:
+        above = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
+        more = F.concat(parts, F.array(part))
+        return F.when(part == "..", above).when(part == ".", parts).otherwise(more)
+
+    # A dot segment at the end names a folder.
+    whole = F.regexp_replace(path, r"(?s)(/\.\.?)\z", "$1/")
+    return F.array_join(F.aggregate(F.split(whole, "/"), F.array().cast("array<string>"), step), "/")
+
+
+def _resolve(base: Column, href: Column, origin: Column) -> Column:
+    """A path, relative path or query against a base with the given origin."""
+    path = F.regexp_extract(href, r"(?s)^[^?#]*", 0)
+    query = F.regexp_extract(href, r"(?s)^[^?#]*(\?[^#]+)", 1)
+    fragment = F.regexp_extract(href, r"(?s)^[^#]*(#.+)", 1)
+    after = F.substr(base, F.length(origin) + 1)
+    base_path = F.regexp_extract(after, r"(?s)^[^?#]*", 0)
+    base_query = F.regexp_extract(after, r"(?s)^[^?#]*(\?[^#]+)", 1)
+    folder = F.regexp_replace(base_path, r"(?s)[^/]+\z", "")
+    relative = F.regexp_replace(F.concat(F.lit("/"), folder, path), "/{2,}", "/")
+    full = F.when(path.startswith("/"), path).otherwise(relative)
+    folded = _once(full, lambda p: F.when(p.rlike(r"/\.\.?(/|\z)"), _without_dots(p)).otherwise(p))
+    rooted = _once(folded, lambda p: F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)))
+    asked = F.when((path == "") & (query == ""), base_query).otherwise(query)
+    return F.concat(origin, F.when(path == "", base_path).otherwise(rooted), asked, fragment)
 
 
 def _percent_encode(url: Column) -> Column:
@@ -46,24 +68,30 @@ def _percent_encode(url: Column) -> Column:
 
 
 def absolute_url(base: Column | str, href: Column | str) -> Column:
-    """Resolve ``href`` against the URL of its page.
+    """Resolve ``href`` against the URL of its page or the page's base, in the JVM.
 
-    The common forms (own scheme, ``//host``, ``/path``) stay in the JVM; only
-    hrefs with dot segments or a relative path reach the Arrow function.
-    Fragment-only links name the page itself and give null. Characters outside
-    ASCII come out percent-encoded.
+    Dot segments are folded over the parts of the path. White space around the href and
+    line breaks and tabs in it do not count. A fragment alone names the page itself and
+    gives null; a base without ``scheme://`` leaves the href as it is. Characters
+    outside ASCII come out percent-encoded.
     """
     base, href = as_column(base), as_column(href)
+    edges = r"^[\x00-\x20]+|[\x00-\x20]+\z|[\t\r\n]+"
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    dotted = href.rlike(r"(^|/)\.\.?(/|$|[?#])")
-    return _percent_encode(
-        F.when(href.startswith("#"), F.lit(None).cast("string"))
-        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/") & ~dotted & (origin != ""), F.concat(origin, href))
-        .otherwise(_join_relative(base, href))
-    )
+
+    def resolved(href: Column) -> Column:
+        absolute = href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | (origin == "")
+        dotted = href.rlike(r"/\.\.?(/|\z|[?#])")
+        return (
+            F.when(href.startswith("#"), F.lit(None).cast("string"))
+            .when(absolute, href)
+            .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+            .when(href.startswith("/") & ~dotted, F.concat(origin, href))
+            .otherwise(_resolve(base, href, origin))
+        )
+
+    return _once(_once(F.regexp_replace(href, edges, ""), resolved), _percent_encode)
 
 
 def markdown_url_variants(url: Column | str) -> Column:

@@ -4,16 +4,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import absolute_url, url_host
+from ..functions import absolute_url, decode_references, url_host
 from ..plans import cut_lineage, dense_numbers, first_per_key, salted_join
 from ..sources.pages import drop_http_errors
 
 _VALUE = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 ANCHOR = rf"(?is)<a\s(?:[^>]*?\s)?{_VALUE}"
 ANCHOR_HREF = rf"(?is)\s{_VALUE}\z"
+BASE = rf"(?is)<base\s(?:[^>]*?\s)?{_VALUE}"
 
 #: Seeds from which a crawl keeps bitmaps of seeds per URL instead of pairs. A bitmap has
 #: 4 KB before compression, a pair some 100 bytes.
@@ -24,24 +25,40 @@ _BITMAP_BITS = 32_768
 _PAIRS_PER_BATCH = 1 << 16
 
 
+def _href(tag: Column) -> Column:
+    """Value of the attribute that ends ``tag``, with its character references decoded."""
+    value = F.concat(*[F.regexp_extract(tag, ANCHOR_HREF, n) for n in (1, 2, 3)])
+    return F.trim(decode_references(value))
+
+
 def extract_hrefs(pages: DataFrame) -> DataFrame:
-    """``src_url, href`` of every anchor of every HTML page, in the JVM."""
+    """``src_url, base_url, href`` of every anchor of every HTML page, in the JVM.
+
+    ``base_url`` is what links of the page are resolved against: the href of its first
+    base element, itself resolved against the URL, or the URL.
+    """
     typed = F.coalesce("content_type", F.lit(""))
     html = pages.where((typed == "") | F.lower(typed).contains("html"))
-    tags = F.regexp_extract_all("body", F.lit(ANCHOR), F.lit(0))
-    value = F.concat(*[F.regexp_extract("tag", ANCHOR_HREF, n) for n in (1, 2, 3)])
+    base = _href(F.regexp_extract("body", BASE, 0))
+    hrefs = F.transform(F.regexp_extract_all("body", F.lit(ANCHOR), F.lit(0)), _href)
     return (
-        html.select(F.col("url").alias("src_url"), F.explode(tags).alias("tag"))
-        .select("src_url", F.trim(F.replace(value, F.lit("&amp;"), F.lit("&"))).alias("href"))
+        html.select(F.col("url").alias("src_url"), "body", base.alias("base"))
+        .select(
+            "src_url",
+            F.when(F.col("base") != "", absolute_url("src_url", "base")).alias("base"),
+            # An outer explode: for an inner one the hrefs would be made twice.
+            F.explode_outer(hrefs).alias("href"),
+        )
         .where(F.col("href") != "")
+        .select("src_url", F.coalesce("base", "src_url").alias("base_url"), "href")
     )
 
 
 def extract_links(pages: DataFrame, same_host: bool = True) -> DataFrame:
     """Distinct edges ``src_url, dst_url``; by default only within a host."""
-    edges = extract_hrefs(pages).select(
-        "src_url", absolute_url("src_url", "href").alias("dst_url")
-    )
+    # A filter on an exploded column stays above what makes it.
+    found = F.explode(F.array(absolute_url("base_url", "href"))).alias("dst_url")
+    edges = extract_hrefs(pages).select("src_url", found)
     if same_host:
         edges = edges.where(url_host("src_url") == url_host("dst_url"))
     return edges.where(F.col("dst_url").isNotNull()).distinct()

@@ -158,3 +158,27 @@ def test_dense_numbers(spark):
     rows = dense_numbers(frame, ["k"], "number").collect()
     assert sorted((r["number"], r["k"]) for r in rows) == [(n, 3 * n) for n in range(1000)]
     assert dense_numbers(frame.where("k < 0"), ["k"], "number").count() == 0
+
+
+def test_base_element_and_references(spark):
+    anchor = "<a href='up/x?a=1&amp;b&#61;2'>x</a><a href='#top'>t</a><a href='/root'>r</a>"
+    pages = spark.createDataFrame(
+        [
+            ("https://h.example.org/a/b", f"<head><BASE target=x HREF='/docs/v1/'></head>{anchor}", "text/html"),
+            ("https://h.example.org/c/d", f"<base href='https://other.example.org/'>{anchor}", None),
+            ("https://h.example.org/e/f", f"<base href=''><base target=_top>{anchor}", ""),
+            ("https://h.example.org/g/g", f"<base href=' ../z/ '><base href='/no/'>{anchor}", ""),
+        ],
+        "url string, body string, content_type string",
+    )
+    links = extract_links(pages, same_host=False)
+    found = {(row.src_url[-3:], row.dst_url) for row in links.collect()}
+    h = "https://h.example.org"
+    assert found == {
+        ("a/b", f"{h}/docs/v1/up/x?a=1&b=2"), ("a/b", f"{h}/root"),
+        ("c/d", "https://other.example.org/up/x?a=1&b=2"), ("c/d", "https://other.example.org/root"),
+        ("e/f", f"{h}/e/up/x?a=1&b=2"), ("e/f", f"{h}/root"),
+        ("g/g", f"{h}/z/up/x?a=1&b=2"), ("g/g", f"{h}/root"),
+    }
+    assert extract_links(pages).where("src_url like '%/c/d'").count() == 0
+    assert "Python" not in links._jdf.queryExecution().toString()

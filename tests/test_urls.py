@@ -1,3 +1,5 @@
+from urllib.parse import urljoin
+
 import hashlib
 from datetime import datetime
 
@@ -79,3 +81,35 @@ def test_model_facts(column):
     for prompts, size in ((cut, 20_000), (fn.enrichment_prompts, 30_000)):
         for prompt in column(prompts, [("My title", "x" * 30_000)])[0]:
             assert "My title" in prompt and prompt.endswith("x" * size) and "x" * (size + 1) not in prompt
+
+
+def test_links_resolve_as_in_the_library(column):
+    pages = [f"https://h.example.org{tail}" for tail in ("", "/", "/a", "/a/", "/a/b/c.html", "/a//b/c?q=1/2#f", "/a/../b/./c/", "?x=/y")]
+    hrefs = "x ./x ../x ../../x ../../../x . .. ./ ../ ... x/. x/.. x/../y ./../x a//b ../a//b/ ?q ?q=../z x?q=./y#z x#../y x# x? "
+    hrefs += "/ /x /. /.. /../x /a/./b/../c /a//../b /x/.. /x/../.. /a/..?q /a/../b#c /a/b/../../../c x/y/../../../z ..x x.. .x /..x/y"
+    cases = [(page, href) for page in pages for href in hrefs.split()]
+    wanted = [urljoin(*case) for case in cases]
+    # An absolute path without dots stays as it stands.
+    assert column(fn.absolute_url, cases) == wanted and len(cases) > 300
+
+
+def test_odd_links(column):
+    base = "https://h.example.org/a/b"
+    cases = {" x ": "https://h.example.org/a/x", "x\ny\t": "https://h.example.org/a/xy", "": base, "#x": None, "\n#x": None}
+    assert column(fn.absolute_url, [(base, href) for href in cases]) == list(cases.values())
+    assert column(fn.absolute_url, [("mailto:x", "y"), (None, "y"), ("http://h", None)]) == ["y", None, None]
+
+
+def test_character_references(column):
+    cases = {
+        "/a?b=1&amp;c=2": "/a?b=1&c=2",
+        "/a&#47;b&#x2F;c&#X2f": "/a/b/c/",
+        "/caf&eacute;&Eacute;&hellip;": "/caf\u00e9\u00c9\u2026",
+        "?a&copy=1&copy;&copy&copyx&copy": "?a&copy=1\u00a9\u00a9&copyx\u00a9",
+        "&#128;&#0;&#xD800;&#99999999;&#x1F600;": "\u20ac\ufffd\ufffd\ufffd\U0001f600",
+        "&unknown;&;&#;&#x;&&amp": "&unknown;&;&#;&#x;&&",
+        "": "",
+        "plain": "plain",
+    }
+    assert column(fn.decode_references, list(cases)) == list(cases.values())
+    assert column(fn.decode_references, [(None,)]) == [None]
