@@ -7,10 +7,14 @@
 3. Tokens are hashed into groups. A class is the point of its group counts, and the
    sum of the coordinate minima of two points bounds their overlap. Pairs that the
    bound admits are verified on the whole sets.
+   At the first shingle that two sets share, no more than the rest of each set can be
+   shared: rows carry how much of their set is left, and a pair whose rests are too
+   short waits for no bucket or was let through in an earlier one.
 4. A first round verifies neighbours in each bucket, which joins large groups of near
    copies with few pairs. A second round searches an R-tree of the points of each
-   bucket for all pairs between different components, so that no link is lost and no
-   group of copies is expanded into its pairs.
+   bucket, of which only the best pair between two components is verified. Buckets
+   that had more are searched a third time, for all pairs between components that are
+   still apart, so that no link is lost and no group of copies is expanded into pairs.
 """
 
 from collections.abc import Iterator
@@ -49,8 +53,13 @@ COMMON_SHARE = 0.0002
 COMMON_LEAST = 4
 COMMON_SAMPLE = 8
 
-#: Members of a bucket's largest component that one task searches.
+#: Members of a bucket's largest component, and others of its members, in one task.
 BUCKET_ROWS = 4096
+#: Rows of a run of sizes that are compared by their rests; longer runs stay whole.
+RUN_ROWS = 5
+#: Bits of a row's place among sizes that hold the rest of its set.
+REST_BITS = 31
+_WIDE = 1 << 31
 
 _NO_ID = 2**63 - 1
 
@@ -149,10 +158,10 @@ class CountTree:
             keep[part] = may_link(bound, least[a[part]], least[b[part]], percent)
         return keep
 
-    def pairs(self, labels: np.ndarray, percent: int = PERCENT) -> Iterator[tuple]:
+    def pairs(self, labels: np.ndarray, percent: int = PERCENT, meet=None) -> Iterator[tuple]:
         """Places of points with different labels whose bound admits a link.
 
-        Goes down the tree from pairs of nodes to pairs of points, depth first, so
+        ``meet(a, b)`` tells which places are compared at all. Goes down the tree from pairs of nodes to pairs of points, depth first, so
         that few pairs wait at a time.
         """
         labels = labels[self.order]
@@ -163,6 +172,9 @@ class CountTree:
             if level == 0:
                 other = (a < b) & (labels[a] != labels[b])
                 a, b = a[other], b[other]
+                if meet is not None:
+                    near = meet(self.order[a], self.order[b])
+                    a, b = a[near], b[near]
             keep = self._admitted(level, a, b, percent)
             a, b = a[keep], b[keep]
             if level == 0:
@@ -229,72 +241,80 @@ def _prefix_rows(common):
                 _, one = np.unique(classes, return_index=True)
                 one = one[sizes[one] > 0]
                 counts = prefix_lengths(sizes[one])
+                at = flat_ranges(first[one], counts)
+                rest = np.repeat(first[one + 1], counts) - at
                 yield _batch(
-                    ["key", "n", "class"],
-                    hashes[flat_ranges(first[one], counts)].astype(np.int64),
-                    np.repeat(sizes[one], counts),
+                    ["key", "size", "class"],
+                    hashes[at].astype(np.int64),
+                    (np.repeat(sizes[one], counts) << REST_BITS) | rest,
                     np.repeat(classes[one], counts).astype(np.int64),
                 )
 
     return rows
 
 
-BUCKET_SCHEMA = "key long, n long, class long, before_n long, before long"
+BUCKET_SCHEMA = "key long, n long, rest long, class long, before_n long, before long"
+
+
+def _meet(rest_a, rest_b, size_a, size_b):
+    """Whether sets may link if a shingle is the first that they share.
+
+    ``rest``: the shingles of a set from that one on.
+    """
+    return may_link(np.minimum(rest_a, rest_b), size_a, size_b)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that share their key with a neighbour, with the class before each.
+    """Rows that may link with another row of their key, and pairs of neighbours.
 
-    Takes rows sorted by key, size and class. The outermost rows of a task are kept
-    in any case, as their key may go on in the next task.
+    Takes rows sorted by key, size (with the rest in the low bits) and class. Rows of
+    a key whose sizes follow each other closely enough to link are a run. Of a short
+    run those rows stay that meet another; long runs and the outermost runs of a
+    batch, which may go on in another, stay whole. Neighbours have no key.
     """
-    held = None  # last row so far: key, n, class, class before and its size, wanted
     names = [part.split()[0] for part in BUCKET_SCHEMA.split(", ")]
-    first = True
+    held = None  # the last row so far: key, size, class
     for batch in batches:
-        if not len(batch):
-            continue
-        key, n, group = (batch.column(k).to_numpy() for k in range(3))
+        key, size, group = (batch.column(k).to_numpy() for k in range(3))
         if held is not None:
-            key, n, group = (np.concatenate(([h], x)) for h, x in zip(held, (key, n, group)))
+            key, size, group = (np.concatenate(([h], x)) for h, x in zip(held, (key, size, group)))
+        if not len(key):
+            continue
         new = np.ones(len(key), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1]) | (n[1:] != n[:-1])
-        if held is not None:
-            new[0] = True
-        key, n, group = key[new], n[new], group[new]
-        same = key[1:] == key[:-1]
-        before = np.concatenate(([False], same))
-        if held is not None:
-            before[0] = held[3]
-        wanted = before.copy()
-        wanted[:-1] |= same
-        wanted[0] |= first if held is None else held[4]
-        first = False
-        # The last row waits for the next batch.
-        held = (key[-1], n[-1], group[-1], bool(before[-1]), bool(wanted[-1]))
-        link = np.concatenate(([False], same))
-        previous = np.concatenate(([0], group[:-1]))
-        previous_n = np.concatenate(([0], n[:-1]))
-        out = np.flatnonzero(wanted[:-1])
-        # A link to the row before is emitted with that row's successor at once.
-        links = np.flatnonzero(link)
+        new[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        key, size, group = key[new], size[new], group[new]
+        n, rest = size >> REST_BITS, size & ((1 << REST_BITS) - 1)
+        same = (key[1:] == key[:-1]) & (100 * n[:-1] >= PERCENT * n[1:])
+        cuts = np.concatenate(([0], np.flatnonzero(~same) + 1, [len(key)]))
+        lengths = np.diff(cuts)
+        whole = lengths > RUN_ROWS
+        whole[[0, -1]] = True
+        wanted = np.repeat(whole, lengths)
+        run = np.repeat(np.arange(len(lengths)), lengths)
+        links = np.zeros(0, np.int64)
+        for step in range(1, min(RUN_ROWS, len(key))):
+            low = np.flatnonzero(run[:-step] == run[step:])
+            high = low + step
+            near = _meet(rest[low], rest[high], n[low], n[high])
+            wanted[low[near]] = wanted[high[near]] = True
+            if step == 1:
+                links = high[near]
+        # The row held before this batch is out already.
+        wanted[0] &= held is None
+        held = (key[-1], size[-1], group[-1])
+        out = np.flatnonzero(wanted)
+        mask = np.arange(len(out) + len(links)) >= len(out)
+        none = np.zeros(len(links), np.int64)
+        blank = np.zeros(len(out), np.int64)
         yield _batch(
             names,
-            np.concatenate((key[out], key[links])),
+            pa.array(np.concatenate((key[out], none)), mask=mask),
             np.concatenate((n[out], n[links])),
+            pa.array(np.concatenate((rest[out], none)), mask=mask),
             np.concatenate((group[out], group[links])),
-            pa.array(
-                np.concatenate((np.zeros(len(out), np.int64), previous_n[links])),
-                mask=np.arange(len(out) + len(links)) < len(out),
-            ),
-            pa.array(
-                np.concatenate((np.zeros(len(out), np.int64), previous[links])),
-                mask=np.arange(len(out) + len(links)) < len(out),
-            ),
+            pa.array(np.concatenate((blank, n[links - 1])), mask=~mask),
+            pa.array(np.concatenate((blank, group[links - 1])), mask=~mask),
         )
-    if held is not None:
-        none = pa.array([None], pa.int64())
-        yield _batch(names, [int(held[0])], [int(held[1])], [int(held[2])], none, none)
 
 
 def _points(rows, column: str) -> np.ndarray:
@@ -311,71 +331,163 @@ def _admitted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+FOUND_SCHEMA = "a long, b long, key long"
+
+
+def _tree_pairs(best: bool):
     """Search the R-tree of each bucket; rows are sorted by key and salt.
 
-    A bucket of up to ``LEAF`` members is a single leaf; those of a batch are searched
-    together.
+    Members of one side are not compared, but those of side -1 are. With ``best``, of
+    the pairs between two labels that are found together the one with the highest
+    bound comes out, and a row with the key alone tells that there were more. A bucket
+    of up to ``LEAF`` members is a single leaf; those of a batch are searched together.
     """
 
     def columns(rows):
-        names = ("class", "label", "n")
+        names = ("key", "class", "label", "n", "rest", "side")
         return _points(rows, "counts"), *(rows.column(k).to_numpy() for k in names)
 
-    def found(group, a, b):
+    def found(key, group, label, sizes, points, a, b) -> Iterator[pa.RecordBatch]:
+        if not len(a):
+            return
+        if best:
+            bound = np.concatenate(
+                [
+                    overlap_bounds(points[a[k : k + 4096]], points[b[k : k + 4096]])
+                    for k in range(0, len(a), 4096)
+                ]
+            )
+            score = bound / (sizes[a] + sizes[b])
+            low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+            order = np.lexsort((group[b], group[a], -score, high, low, key[a]))
+            a, b, low, high = a[order], b[order], low[order], high[order]
+            first = np.ones(len(a), dtype=bool)
+            first[1:] = (key[a[1:]] != key[a[:-1]]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            more = np.unique(key[a[~first]])
+            a, b = a[first], b[first]
+            none = pa.nulls(len(more), pa.int64())
+            yield _batch(["a", "b", "key"], none, none, more)
         a, b = group[a], group[b]
-        return _batch(["a", "b"], np.minimum(a, b), np.maximum(a, b))
+        none = pa.nulls(len(a), pa.int64())
+        yield _batch(["a", "b", "key"], np.minimum(a, b), np.maximum(a, b), none)
+
+    def meeting(sizes, rest, side):
+        def meet(a, b):
+            apart = (side[a] < 0) | (side[a] != side[b])
+            return apart & _meet(rest[a], rest[b], sizes[a], sizes[b])
+
+        return meet
 
     def search(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        points, group, label, sizes = columns(rows)
-        for a, b in CountTree(points, sizes).pairs(label):
-            yield found(group, a, b)
+        points, key, group, label, sizes, rest, side = columns(rows)
+        for a, b in CountTree(points, sizes).pairs(label, meet=meeting(sizes, rest, side)):
+            yield from found(key, group, label, sizes, points, a, b)
 
     def search_leaves(rows: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         """``ends``: for each row the end of its bucket in the batch, or the row itself."""
-        points, group, label, sizes = columns(rows)
+        points, key, group, label, sizes, rest, side = columns(rows)
         at = np.arange(len(ends))
         counts = np.maximum(ends - at - 1, 0)
         left, right = np.repeat(at, counts), flat_ranges(at + 1, counts)
         other = label[left] != label[right]
         left, right = left[other], right[other]
-        # Sizes alone settle most pairs.
-        small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
-        near = may_link(small, small, large)
+        near = meeting(sizes, rest, side)(left, right)
         left, right = left[near], right[near]
+        keep = np.zeros(len(left), dtype=bool)
         for first in range(0, len(left), 1 << 12):
-            a, b = left[first : first + (1 << 12)], right[first : first + (1 << 12)]
-            keep = may_link(overlap_bounds(points[a], points[b]), sizes[a], sizes[b])
-            if keep.any():
-                yield found(group, a[keep], b[keep])
-
-    held: list[pa.RecordBatch] = []
-    at = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        key, salt = batch.column("key").to_numpy(), batch.column("salt").to_numpy()
-        new = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
-        cuts = np.concatenate(([0], new, [len(key)]))
-        sizes = np.diff(cuts)
-        # The outermost buckets may go on in other batches.
-        whole = np.ones(len(sizes), dtype=bool)
-        whole[[0, -1]] = False
-        leaves = whole & (sizes <= LEAF)
-        yield from search_leaves(batch, np.repeat(np.where(leaves, cuts[1:], 0), sizes))
-        for low, high in zip(cuts[:-1][~leaves], cuts[1:][~leaves]):
-            if held and at != (key[low], salt[low]):
-                yield from search(pa.Table.from_batches(held))
-                held = []
-            at = (key[low], salt[low])
-            held.append(batch.slice(low, high - low))
-    if held:
-        yield from search(pa.Table.from_batches(held))
+            part = slice(first, first + (1 << 12))
+            a, b = left[part], right[part]
+            keep[part] = may_link(overlap_bounds(points[a], points[b]), sizes[a], sizes[b])
+        yield from found(key, group, label, sizes, points, left[keep], right[keep])
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            key, salt = batch.column("key").to_numpy(), batch.column("salt").to_numpy()
+            new = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
+            cuts = np.concatenate(([0], new, [len(key)]))
+            sizes = np.diff(cuts)
+            # The outermost buckets may go on in other batches.
+            whole = np.ones(len(sizes), dtype=bool)
+            whole[[0, -1]] = False
+            leaves = whole & (sizes <= LEAF)
+            yield from search_leaves(batch, np.repeat(np.where(leaves, cuts[1:], 0), sizes))
+            for low, high in zip(cuts[:-1][~leaves], cuts[1:][~leaves]):
+                if held and at != (key[low], salt[low]):
+                    yield from search(pa.Table.from_batches(held))
+                    held = []
+                at = (key[low], salt[low])
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield from search(pa.Table.from_batches(held))
+
+    return buckets
+
+
+def _searched(members: DataFrame, roots: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
+    """Pairs of members between components that rests and points admit (``FOUND_SCHEMA``).
+
+    A bucket's largest component is dealt to tasks in blocks, and so are its other
+    members. Every block of others meets every block of the component, itself, and
+    every other block of others.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
+        "key", "n", "rest", "class", F.coalesce("root", "class").alias("label")
+    )
+    tops = (
+        members.groupBy("key", "label")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("key")
+        .agg(
+            F.max(F.struct("size", "label")).alias("top"),
+            F.sum("size").alias("total"),
+            F.count(F.lit(1)).alias("labels"),
+        )
+        .where("labels > 1")
+        .select(
+            "key",
+            F.col("top.label").alias("top"),
+            F.ceil(F.col("top.size") / BUCKET_ROWS).alias("tops"),
+            F.ceil((F.col("total") - F.col("top.size")) / BUCKET_ROWS).alias("others"),
+        )
+    )
+    place = lambda column: F.pmod(F.xxhash64("class"), F.col(column))
+    task = lambda i, j, side: F.struct(
+        (i * F.lit(_WIDE) + j).alias("salt"), side.cast("int").alias("side")
+    )
+    in_top = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("others") - 1),
+        lambda j: task(place("tops"), j, F.when(place("tops") == 0, -1).otherwise(0)),
+    )
+    with_top = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("tops") - 1),
+        lambda i: task(i, place("others"), F.when(i == 0, -1).otherwise(1)),
+    )
+    own = place("others")
+    with_others = F.transform(
+        F.filter(F.sequence(F.lit(0).cast("long"), F.col("others") - 1), lambda k: k != own),
+        lambda k: task(
+            F.col("tops") + F.least(own, k), F.greatest(own, k), F.when(own < k, 0).otherwise(1)
+        ),
+    )
+    tasks = F.when(F.col("label") == F.col("top"), in_top).otherwise(F.concat(with_top, with_others))
+    return (
+        members.join(tops, "key")
+        .select("key", "n", "rest", "class", "label", F.inline(tasks))
+        .join(classes.select("class", "counts"), "class")
+        .select("key", "salt", "side", "n", "rest", "class", "label", "counts")
+        .repartition(parts, "key", "salt")
+        .sortWithinPartitions("key", "salt")
+        .mapInArrow(_tree_pairs(best), FOUND_SCHEMA)
+    )
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs of classes whose whole sets link."""
-    pairs = work_table(pairs)
+    """Those of the pairs of classes whose whole sets link; ``pairs`` is a work table."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = work_table(classes.select("class", "doc").join(ids, "class"))
     small, _ = broadcast_if_bounded(wanted)
@@ -454,16 +566,16 @@ def similar_documents(
     common = np.sort(common.astype(np.int64).view(np.uint64))
     shipped = spark.sparkContext.broadcast(common)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.mapInArrow(_prefix_rows(shipped), "key long, n long, class long")
+    rows = texts.mapInArrow(_prefix_rows(shipped), "key long, size long, class long")
     buckets = work_table(
-        rows.repartitionByRange(parts, "key", "n", "class")
-        .sortWithinPartitions("key", "n", "class")
+        rows.repartitionByRange(parts, "key", "size", "class")
+        .sortWithinPartitions("key", "size", "class")
         .mapInArrow(_buckets, BUCKET_SCHEMA)
     )
 
     # First round: neighbours in the order of sizes.
     neighbours = (
-        buckets.where(f"before is not null and 100 * before_n >= {PERCENT} * n")
+        buckets.where("before is not null")
         .select(F.least("before", "class").alias("a"), F.greatest("before", "class").alias("b"))
         .distinct()
     )
@@ -473,48 +585,34 @@ def similar_documents(
         F.col("counts").alias(f"counts_{side}"),
     )
     with_points = neighbours.join(point("a"), "a").join(point("b"), "b")
-    admitted = with_points.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(
-        _admitted_pairs, "a long, b long"
+    admitted = work_table(
+        with_points.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(
+            _admitted_pairs, "a long, b long"
+        )
     )
     links = work_table(_verified(texts, classes, admitted))
     roots = work_table(connected_components(links))
 
-    # Second round: pairs between components that the points admit.
-    members = buckets.where("before is null").select("key", "n", "class").distinct()
-    members = members.join(roots, members["class"] == roots["node"], "left").select(
-        "key", "n", "class", F.coalesce("root", "class").alias("root")
-    )
-    # Of a large bucket, the largest component is dealt to several tasks, each of which
-    # gets the other members; these meet each other in the first task alone.
-    tops = (
-        members.groupBy("key", "root")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .groupBy("key")
-        .agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
-        .where("roots > 1")
-        .select("key", "top")
-    )
-    splits = F.ceil(F.col("top.size") / BUCKET_ROWS).cast("int")
-    in_top = F.col("root") == F.col("top.root")
-    salts = F.when(in_top, F.array(F.pmod(F.xxhash64("class"), splits).cast("int"))).otherwise(
-        F.sequence(F.lit(0), splits - 1)
-    )
-    other = F.when(~in_top & (F.col("salt") > 0), F.col("top.root").bitwiseXOR(1))
-    found = (
-        members.join(tops, "key")
-        .withColumn("salt", F.explode(salts))
-        .withColumn("label", F.coalesce(other, F.col("root")))
-        .join(classes.select("class", "counts"), "class")
-        .select("key", "salt", "n", "class", "label", "counts")
-        .repartition(parts, "key", "salt")
-        .sortWithinPartitions("key", "salt")
-        .mapInArrow(_tree_pairs, "a long, b long")
-        .distinct()
-        .join(neighbours, ["a", "b"], "left_anti")
-    )
-    more = work_table(_verified(texts, classes, found))
-    links = links.union(more)
-    roots = connected_components(links) if more.take(1) else roots
+    # Second round: of the pairs between two components the best of each bucket.
+    members = buckets.where("before is null").select("key", "n", "rest", "class")
+    found = work_table(_searched(members, roots, classes, best=True))
+    pairs = found.where("a is not null").select("a", "b").distinct()
+    tried = work_table(pairs.join(admitted, ["a", "b"], "left_anti"))
+    more = work_table(_verified(texts, classes, tried))
+    if more.take(1):
+        links = links.union(more)
+        roots = work_table(connected_components(links))
+
+    # Third round: all pairs that are left between components.
+    open_keys = work_table(found.where("a is null").select("key").distinct())
+    if open_keys.take(1):
+        members = members.join(open_keys, "key", "left_semi")
+        pairs = _searched(members, roots, classes, best=False).select("a", "b").distinct()
+        done = admitted.union(tried)
+        left = work_table(pairs.join(done, ["a", "b"], "left_anti"))
+        more = work_table(_verified(texts, classes, left))
+        if more.take(1):
+            roots = connected_components(links.union(more))
 
     named = (
         classes.select("class", "doc")

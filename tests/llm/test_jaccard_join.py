@@ -101,6 +101,39 @@ def test_shared_passage_and_common_shingles(make_docs, monkeypatch):
     check(make_docs, rows)
 
 
+def test_bucket_of_many_components(make_docs, monkeypatch):
+    """No two of them link, but all share the shingles of one passage, in blocks of three."""
+    monkeypatch.setattr(module, "BUCKET_ROWS", 3)
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = lambda: " ".join(f"q{rng.randrange(9**7)}" for _ in range(14))
+    rows = [(k, f"{passage} {own()}") for k in range(40)]
+    rows += [(100 + k, text + " more") for k, (_, text) in enumerate(rows[::4])]
+    check(make_docs, rows)
+
+
+def test_lone_members_beside_a_large_component(spark, make_docs, monkeypatch):
+    """The best pair between two components joins them; the pairs left are searched then."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(80)]
+    rows = []
+    for k in range(120):
+        copy = list(words)
+        for _ in range(rng.randrange(3)):
+            copy[rng.randrange(80)] = f"x{rng.randrange(9**6)}"
+        rows.append((k, " ".join(copy)))
+    verified = []
+    plain = module._verified
+
+    def counted(texts, classes, pairs):
+        verified.append(pairs.count())
+        return plain(texts, classes, pairs)
+
+    monkeypatch.setattr(module, "_verified", counted)
+    check(make_docs, rows)
+    assert sum(verified) < 120 * 119 / 8
+
+
 def test_bucket_rows_of_small_batches(spark, make_docs):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
