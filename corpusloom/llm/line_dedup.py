@@ -13,16 +13,13 @@ lines form components, of which the first line in the corpus stays. Two lines of
 similarity J agree in a band with a probability of about J ** 3: with eight bands in some
 band with 0.987 at J = 0.75 and 0.9999 at J = 0.9.
 
-Where the smallest of a bucket is of another text, lines that meet there are not compared
-with each other. If they are of several components, they are searched again: the bands are then other choices of
-bins, short and long ones, and ``LEADERS`` lines of each bucket are compared with the rest. The lines
-that met in a larger bucket without leading it go on to the next search, with other bands and
-leaders, until no line is left over, a search finds no link, or ``SEARCHES`` are done.
+Lines that meet in a bucket which another line leads are compared too, all of them, unless
+they are of one component by then or cannot link: two sets that do have sizes of one order and
+differ in few shingles, which their sketches bound from below. The nearest of each line is
+compared first, the rest after that.
 """
 
-import random
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import broadcast_if_bounded, hot_keys, salted_join
@@ -30,17 +27,17 @@ from .common import SPACE, WORD, free_names, release, work_table
 from .components import connected_components
 
 SHINGLE_CHARS = 12
-#: Bins of a signature, and successive bins in a band of the first search.
+#: Bins of a signature, and successive bins in a band.
 BINS = 24
 BAND_BINS = 3
+BANDS = [list(range(k, k + BAND_BINS)) for k in range(0, BINS, BAND_BINS)]
 #: Shingles per bin that a long line has below its bound on hashes, on average: a bin is left
 #: empty by the bound with a probability of exp(-8).
 PER_BIN = 8
-#: Bins of each band of a further search: long bands part lines that share a passage only.
-MORE_BANDS = [6] * 32 + [12] * 16
-#: Lines of each bucket that a further search compares with the rest, and the bound on searches.
-LEADERS = 4
-SEARCHES = 3
+#: Words of 64 bits in the sketch of a line's shingles; a power of two.
+SKETCH_WORDS = 16
+#: Lines of a large bucket that are compared with those of another block in one cell.
+BLOCK_LINES = 4096
 #: Jaccard similarity from which lines link, in percent.
 PERCENT = 75
 #: Buckets and lines that are sent to all tasks rather than shuffled for.
@@ -52,6 +49,7 @@ _NULL_ID = -(2**63)
 #: Bytes of a character as the shingles are cut from it.
 _WIDE = 4
 _MINS = [f"m{k}" for k in range(BINS)]
+_WORDS = [f"w{k}" for k in range(SKETCH_WORDS)]
 #: What tells a document from others, and a line.
 _DOC = ["doc", "version"]
 _PLACE = [*_DOC, "place"]
@@ -143,21 +141,21 @@ def with_signatures(lines: DataFrame) -> DataFrame:
     return dealt.groupBy(*rest, "hash").agg(*least)
 
 
-def _band_keys(bands: list[list[int]]) -> Column:
-    """A key for each band of bins, none for one whose bins are empty."""
+def _keys_of_bands(bands: list[list[int]]) -> list[Column]:
+    """A key for each band of bins, null for one whose bins are empty."""
     keys = []
     for number, bins in enumerate(bands):
         names = [_MINS[k] for k in bins]
         filled = F.coalesce(*names).isNotNull()
         values = [F.coalesce(F.col(name), F.lit(-1)) for name in names]
         keys.append(F.when(filled, F.xxhash64(F.lit(number), *values)))
-    return F.explode(F.array(*keys))
+    return keys
 
 
 def _met(found: DataFrame) -> DataFrame:
     """``key``, ``a``, ``hash``: each line with the smallest of each of its buckets."""
-    bands = [list(range(k, k + BAND_BINS)) for k in range(0, BINS, BAND_BINS)]
-    keys = found.select("hash", _band_keys(bands).alias("key")).where("key is not null")
+    keys = found.select("hash", F.explode(F.array(*_keys_of_bands(BANDS))).alias("key"))
+    keys = keys.where("key is not null")
     # A bucket of any size is one row here, summed up in each task before the shuffle.
     buckets = work_table(
         keys.groupBy("key")
@@ -180,47 +178,105 @@ def _in_buckets(keys: DataFrame, buckets: DataFrame, columns: list[str]) -> Data
     return salted_join(keys, buckets.select(*columns), ["key"], ["hash"], hot)
 
 
-def _more_met(signatures: DataFrame, roots: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """Two tables of a further search: ``a`` < ``b``, lines of different components that
-    meet with one of them leading a bucket, and ``hash`` of those that do not lead one.
-    """
-    rng = random.Random(number)
-    bands = [sorted(rng.sample(range(BINS), bins)) for bins in MORE_BANDS]
-    keys = signatures.select("hash", _band_keys(bands).alias("key")).where("key is not null")
-    rooted = work_table(_with_root(keys, roots, "hash", "root"))
-    buckets = work_table(
-        rooted.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where("low != high")
-        .select("key", "n")
-    )
-    order = Window.partitionBy("key").orderBy(F.xxhash64("hash", "key", F.lit(number)), "hash")
-    placed = _in_buckets(rooted, buckets, ["key", "n"]).drop("n")
-    placed = work_table(placed.withColumn("place", F.row_number().over(order)))
-    leaders = placed.where(F.col("place") <= LEADERS).join(buckets, "key")
-    leaders = work_table(leaders.select("key", F.col("hash").alias("a"), F.col("root").alias("of"), "n"))
-    met = _in_buckets(placed.select("key", "hash", "root"), leaders, ["key", "a", "of"])
-    pairs = met.where("root != of").select(
-        F.least("a", "hash").alias("a"), F.greatest("a", "hash").alias("b")
-    )
-    pairs = work_table(pairs.distinct())
-    rest = work_table(placed.where(F.col("place") > LEADERS).select("hash").distinct())
-    release(rooted, buckets, placed, leaders)
-    return pairs, rest
-
-
 def _with_root(rows: DataFrame, roots: DataFrame, name: str, of: str) -> DataFrame:
     """``rows`` with ``of``, the component of the line in ``name``: itself, if alone."""
     side, _ = broadcast_if_bounded(roots.select(F.col("node").alias(name), F.col("root").alias(of)))
     return rows.join(side, name, "left").withColumn(of, F.coalesce(of, name))
 
 
-def _left_over(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """``hash`` of lines that met without leading, where several components did."""
-    met = _with_root(met, roots, "hash", "root")
-    several = met.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    several = several.where("low != high").select("key")
-    return met.join(several, "key").select("hash").distinct()
+def _sketches(lines: DataFrame) -> DataFrame:
+    """``hash``, ``size`` of the shingle set and its sketch, a column per word.
+
+    A bit of the sketch is the parity of the shingles that fall on it, so that two sets
+    differ in at least as many shingles as their sketches do in bits.
+    """
+    rows = lines.select("hash", F.explode(F.array_distinct(shingles(F.col("line")))).alias("s"))
+    word = F.col("s").bitwiseAND(F.lit(SKETCH_WORDS - 1))
+    place = F.shiftright("s", SKETCH_WORDS.bit_length() - 1).bitwiseAND(F.lit(63)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    rows = rows.select("hash", word.alias("word"), bit.alias("bit"))
+    words = [
+        F.coalesce(F.bit_xor(F.when(F.col("word") == k, F.col("bit"))), F.lit(0)).alias(name)
+        for k, name in enumerate(_WORDS)
+    ]
+    return rows.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), *words)
+
+
+def _rest(met: DataFrame, roots: DataFrame, found: DataFrame, lines: DataFrame) -> DataFrame:
+    """``a`` < ``b`` and ``far``: lines of different components that may link by their sizes
+    and sketches, of all pairs that share a bucket.
+
+    Taken are lines that met in a bucket of several components without leading it. A pair
+    is made in the first bucket it shares. Large buckets are dealt in blocks, of which every
+    two meet in a cell of their own.
+    """
+    met = work_table(_with_root(met.select("key", "hash"), roots, "hash", "root"))
+    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    several = met.groupBy("key").agg(*ends).where("low != high").select("key", "n")
+    several = work_table(several)
+    wanted = work_table(_in_buckets(met, several, ["key"]).select("hash", "root").distinct())
+    ids, _ = broadcast_if_bounded(wanted)
+    least = [F.min(name).alias(name) for name in _MINS]
+    bins = found.join(ids.select("hash"), "hash", "left_semi").groupBy("hash").agg(*least)
+    keyed = bins.select("hash", F.array(*_keys_of_bands(BANDS)).alias("keys"))
+    sketches = _sketches(lines.join(ids.select("hash"), "hash", "left_semi"))
+    of_line = work_table(keyed.join(sketches, "hash"))
+    rows = of_line.join(ids, "hash").select("hash", "root", F.posexplode("keys").alias("band", "key"))
+    rows = work_table(rows.where("key is not null"))
+    full = work_table(rows.groupBy("key").agg(*ends).where("low != high").select("key", "n"))
+    last = (F.ceil(F.col("n") / BLOCK_LINES) - 1).cast("int")
+    rows = work_table(_in_buckets(rows, full, ["key", "n"]).select("*", last.alias("last")).drop("n"))
+    own = F.pmod("hash", F.col("last") + 1).cast("int")
+    cells = (
+        rows.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        .withColumn("i", F.least("own", "other"))
+        .withColumn("j", F.greatest("own", "other"))
+        .drop("last", "other")
+        .join(of_line, "hash")
+    )
+    x, y = cells.alias("x"), cells.alias("y")
+    far = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in _WORDS), F.lit(0))
+    inside = (F.col("x.i") == F.col("x.j")) & (F.col("x.hash") < F.col("y.hash"))
+    smaller, larger = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    near = (smaller * 100 >= larger * PERCENT) & (
+        far * (100 + PERCENT) <= (smaller + larger) * (100 - PERCENT)
+    )
+    agree = F.zip_with("x.keys", "y.keys", lambda one, other: one == other)
+    first = F.array_position(agree, True) - 1
+    pairs = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.i") == F.col("y.i"))
+        & (F.col("x.j") == F.col("y.j"))
+        & ((F.col("x.own") < F.col("y.own")) | inside)
+        & (F.col("x.root") != F.col("y.root"))
+        & near
+        & (first == F.col("x.band")),
+    ).select(F.least("x.hash", "y.hash").alias("a"), F.greatest("x.hash", "y.hash").alias("b"), far.alias("far"))
+    pairs = work_table(pairs)
+    release(met, several, rows, full, of_line)
+    return pairs
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those ``pairs`` whose lines are of different components."""
+    both = _with_root(_with_root(pairs, roots, "a", "of_a"), roots, "b", "of_b")
+    return both.where("of_a != of_b")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after ``links`` more."""
+    if links.isEmpty():
+        return roots
+    # Components are nodes now: only those that the new links join change.
+    of_links = _apart(links, roots).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    merged = connected_components(of_links).select(
+        F.col("node").alias("root"), F.col("root").alias("into")
+    )
+    nodes = roots.select("node").union(links.select(F.explode(F.array("a", "b")))).distinct()
+    known = _with_root(nodes, roots, "node", "root").join(merged, "root", "left")
+    return work_table(known.select("node", F.coalesce("into", "root").alias("root")))
 
 
 def _components(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -229,29 +285,14 @@ def _components(found: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = work_table(met.select("a", F.col("hash").alias("b")).distinct())
     lines = work_table(_lines_of_pairs(texts, found, pairs))
     roots = work_table(connected_components(work_table(_linked(lines, pairs))))
-    open_lines = work_table(_left_over(met, roots))
-    for number in range(1, SEARCHES + 1):
-        if open_lines.isEmpty():
-            break
-        least = [F.min(name).alias(name) for name in _MINS]
-        wanted, _ = broadcast_if_bounded(open_lines)
-        signatures = found.join(wanted, "hash", "left_semi").groupBy("hash").agg(*least)
-        met, open_lines = _more_met(work_table(signatures), roots, number)
-        again = work_table(met.join(pairs, ["a", "b"], "left_anti"))
-        more = work_table(_linked(lines, again))
-        if more.isEmpty():
-            break
-        # Components are nodes now: only those that the new links join change.
-        joined = _with_root(_with_root(more, roots, "a", "of_a"), roots, "b", "of_b")
-        joined = joined.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-        merged = connected_components(joined).select(
-            F.col("node").alias("root"), F.col("root").alias("into")
-        )
-        nodes = roots.select("node").union(more.select(F.explode(F.array("a", "b")))).distinct()
-        known = _with_root(nodes, roots, "node", "root").join(merged, "root", "left")
-        roots = work_table(known.select("node", F.coalesce("into", "root").alias("root")))
-        pairs = work_table(pairs.union(again))
-    return roots
+    rest = _rest(met, roots, found, lines)
+    # The nearest of each line first: most others are of one component then.
+    turned = rest.union(rest.select(F.col("b").alias("a"), F.col("a").alias("b"), "far"))
+    nearest = turned.groupBy("a").agg(F.min(F.struct("far", "b")).alias("to"))
+    nearest = nearest.select(F.least("a", "to.b").alias("a"), F.greatest("a", "to.b").alias("b"))
+    roots = _joined(roots, work_table(_linked(lines, work_table(nearest.distinct()))))
+    others = work_table(_apart(rest, roots).select("a", "b"))
+    return _joined(roots, work_table(_linked(lines, others)))
 
 
 def _lines_of_pairs(texts: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -73,6 +73,23 @@ def test_near_copies_over_a_shared_template(make_docs):
     assert kept_by_operator(make_docs, lines) == expected
 
 
+def test_all_lines_of_a_bucket_are_compared(make_docs, monkeypatch):
+    # One bucket of lines that differ from its first; what is compared has no bound.
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 7, raising=False)
+    monkeypatch.setattr(line_dedup, "SEARCHES", 1, raising=False)
+    monkeypatch.setattr(line_dedup, "LEADERS", 1, raising=False)
+    rng = random.Random(6)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    template = prose(300)
+    lines = []
+    for _ in range(90):
+        own = prose(115)
+        lines += [template + own, template + own[:50] + "q" + own[51:90] + "q" + own[91:]]
+    expected = kept_lines(lines)
+    assert expected == list(range(0, 180, 2))
+    assert kept_by_operator(make_docs, lines) == expected
+
+
 def test_recall_on_a_whole_table(spark):
     """Removed lines of all documents of sf0.01 against all pairs that share a shingle."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
