@@ -1,4 +1,7 @@
+from pyspark.util import PythonEvalType
+
 from corpusloom import functions as fn
+from corpusloom.functions import pages
 
 
 def convert(column, pages):
@@ -54,3 +57,14 @@ def test_titles(column):
 
 def test_null_is_not_converted(column):
     assert list(convert(column, [None])[0]) == [None, None, None]
+
+
+def test_a_batch_is_never_held_as_python_strings(spark):
+    assert pages._convert.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    rows = [(n, None if n % 50 == 7 else f"<title>t{n}</title><p>page <b>{n}</b></p>") for n in range(300)]
+    frame = spark.createDataFrame(rows, "n int, html string").coalesce(1)
+    found = dict(frame.select("n", fn.html_to_markdown("html")).collect())
+    assert len(found) == 300 > pages.ROWS_AT_ONCE
+    for n, html in rows:
+        want = (None, None, None) if html is None else (f"page **{n}**", f"t{n}", None)
+        assert tuple(found[n]) == want
