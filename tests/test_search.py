@@ -275,3 +275,12 @@ def test_present_fields(documents):
 def test_other_id_columns(documents):
     renamed = documents.withColumnRenamed("id", "key").withColumn("key", F.upper("key"))
     assert pairs(search(renamed, "settings", 5, id_col="key"))[0][0] == "B"
+
+
+def test_pairs_of_query_and_document_are_not_shuffled(documents, queries):
+    index = build_index(documents, {"content": STANDARD})
+    scored = bm25.score_many(index, queries)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" in plan and "hashpartitioning(query_id" not in plan
+    single = bm25.score_many(index, queries, bounded=True)
+    assert sorted(scored.collect()) == sorted(single.collect())
