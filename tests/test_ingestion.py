@@ -24,6 +24,7 @@ from corpusloom.sinks import (
     upsert_documents,
     write_manifests,
 )
+from corpusloom.sinks import table
 from corpusloom.sinks.versions import live_versions
 from corpusloom.sources import (
     scan_manifests,
@@ -363,3 +364,17 @@ def test_one_page_end_to_end(spark):
     assert bad.count() == 0
     hit = search(documents, "install").first()
     assert hit["url"] == "https://h.example/" and hit["title"] == "Manual" and "tool get it" in hit["content"]
+
+
+def test_an_upsert_regroups_only_repeated_ids(spark, tmp_path, monkeypatch):
+    root, asked = str(tmp_path / "table"), []
+    original = table.latest_by_id
+    monkeypatch.setattr(table, "latest_by_id", lambda df, *order: asked.append(df.count()) or original(df, *order))
+    upsert_documents(spark, spark.createDataFrame([doc("a"), doc("b")], DOCUMENT_SCHEMA), root)
+    assert not asked
+    rows = [doc("a", 2, "t2"), doc("a", 1), doc("c", 1, "once")]
+    upsert_documents(spark, spark.createDataFrame(rows, DOCUMENT_SCHEMA), root)
+    assert asked == [2]
+    assert len(live_versions(spark, root)[1]) == 2
+    last = spark.read.parquet(live_versions(spark, root)[1][-1].path)
+    assert titles(last) == {"a": "t2", "c": "once"}
