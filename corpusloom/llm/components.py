@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from ..plans import cut_lineage
 
+#: Links per task: few links are not dealt over all partitions of a shuffle.
+TASK_LINKS = 100_000
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for edges ``a``, ``b``.
@@ -23,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     links = cut_lineage(links)
     state = _fingerprint(links)
     while True:
-        links = cut_lineage(_small_star(_large_star(links)))
+        tasks = state[0] // TASK_LINKS + 1
+        links = cut_lineage(_small_star(_large_star(links, tasks), tasks))
         now = _fingerprint(links)
         if now == state:
             break
@@ -39,8 +43,8 @@ def _fingerprint(links: DataFrame):
     return tuple(links.agg(F.count(F.lit(1)), F.sum(half.cast("decimal(38,0)"))).first())
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _large_star(links: DataFrame, tasks: int) -> DataFrame:
+    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
     return (
@@ -52,9 +56,9 @@ def _large_star(links: DataFrame) -> DataFrame:
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, tasks: int) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
     moved = (
         links.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     )
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return moved.union(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct()

@@ -15,8 +15,9 @@ band with 0.987 at J = 0.75 and 0.9999 at J = 0.9.
 
 Lines that meet in a bucket which another line leads are compared too, all of them, unless
 they are of one component by then or cannot link: two sets that do have sizes of one order and
-differ in few shingles, which their sketches bound from below. The nearest of each line is
-compared first, the rest after that.
+differ in few shingles, which their sketches bound from below. ``HUBS`` lines of each bucket are
+compared first with all others of it, so that pairs inside a large group of near copies are not
+made; then the nearest left of each line, the rest after that.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -36,8 +37,12 @@ BANDS = [list(range(k, k + BAND_BINS)) for k in range(0, BINS, BAND_BINS)]
 PER_BIN = 8
 #: Words of 64 bits in the sketch of a line's shingles; a power of two.
 SKETCH_WORDS = 16
+#: Lines of each bucket that all others of it are compared with first.
+HUBS = 4
 #: Lines of a large bucket that are compared with those of another block in one cell.
 BLOCK_LINES = 4096
+#: Tasks per core among which few lines are dealt.
+SPREAD = 4
 #: Jaccard similarity from which lines link, in percent.
 PERCENT = 75
 #: Buckets and lines that are sent to all tasks rather than shuffled for.
@@ -202,60 +207,106 @@ def _sketches(lines: DataFrame) -> DataFrame:
     return rows.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), *words)
 
 
-def _rest(met: DataFrame, roots: DataFrame, found: DataFrame, lines: DataFrame) -> DataFrame:
-    """``a`` < ``b`` and ``far``: lines of different components that may link by their sizes
-    and sketches, of all pairs that share a bucket.
+def _met_again(met: DataFrame, roots: DataFrame, found: DataFrame, lines: DataFrame):
+    """Lines of buckets that hold several components: their ``keys``, one per band, with
+    sizes and sketches, and ``hash``, ``band``, ``key`` of each of their buckets.
 
-    Taken are lines that met in a bucket of several components without leading it. A pair
-    is made in the first bucket it shares. Large buckets are dealt in blocks, of which every
-    two meet in a cell of their own.
+    Taken are lines that met in such a bucket without leading it.
     """
-    met = work_table(_with_root(met.select("key", "hash"), roots, "hash", "root"))
-    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
-    several = met.groupBy("key").agg(*ends).where("low != high").select("key", "n")
-    several = work_table(several)
-    wanted = work_table(_in_buckets(met, several, ["key"]).select("hash", "root").distinct())
-    ids, _ = broadcast_if_bounded(wanted)
+    met = _with_root(met.select("key", "hash"), roots, "hash", "root")
+    several, _ = broadcast_if_bounded(work_table(_several(met).select("key")), MAX_BUCKETS)
+    ids, _ = broadcast_if_bounded(work_table(met.join(several, "key").select("hash").distinct()))
     least = [F.min(name).alias(name) for name in _MINS]
-    bins = found.join(ids.select("hash"), "hash", "left_semi").groupBy("hash").agg(*least)
+    bins = found.join(ids, "hash", "left_semi").groupBy("hash").agg(*least)
     keyed = bins.select("hash", F.array(*_keys_of_bands(BANDS)).alias("keys"))
-    sketches = _sketches(lines.join(ids.select("hash"), "hash", "left_semi"))
+    sketches = _sketches(lines.join(ids, "hash", "left_semi"))
     of_line = work_table(keyed.join(sketches, "hash"))
-    rows = of_line.join(ids, "hash").select("hash", "root", F.posexplode("keys").alias("band", "key"))
-    rows = work_table(rows.where("key is not null"))
-    full = work_table(rows.groupBy("key").agg(*ends).where("low != high").select("key", "n"))
+    rows = of_line.select("hash", F.posexplode("keys").alias("band", "key"))
+    return of_line, rows.where("key is not null")
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """``key`` and ``n``, the number of ``rows``, of the buckets with more than one root."""
+    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    return rows.groupBy("key").agg(*ends).where("low != high").select("key", "n")
+
+
+def _far(x: str, y: str) -> Column:
+    """The number of bits in which the sketches of two lines differ."""
+    words = [F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _WORDS]
+    return sum(words, F.lit(0))
+
+
+def _near(x: str, y: str) -> Column:
+    """Whether two lines may link by their sizes and sketches."""
+    smaller = F.least(f"{x}.size", f"{y}.size")
+    larger = F.greatest(f"{x}.size", f"{y}.size")
+    return (smaller * 100 >= larger * PERCENT) & (
+        _far(x, y) * (100 + PERCENT) <= (smaller + larger) * (100 - PERCENT)
+    )
+
+
+def _with_hubs(rows: DataFrame, of_line: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a`` < ``b``: each line with ``HUBS`` lines of each of its buckets, those of other
+    components that may link by their sizes and sketches."""
+    rows = work_table(_with_root(rows, roots, "hash", "root"))
+    turns = [F.max(F.struct(F.xxhash64("hash", F.lit(k)), "hash", "root")) for k in range(HUBS)]
+    hubs = rows.groupBy("key").agg(F.array(*turns).alias("hubs"), F.count(F.lit(1)).alias("n"))
+    hubs = work_table(_several(rows).select("key").join(hubs, "key"))
+    met = _in_buckets(rows, hubs, ["key", "hubs"])
+    met = met.select("hash", "root", F.explode("hubs").alias("hub")).where("root != hub.root")
+    ends = F.least("hash", "hub.hash").alias("a"), F.greatest("hash", "hub.hash").alias("b")
+    pairs = met.select(*ends).distinct()
+    for name, end in ("x", "a"), ("y", "b"):
+        side = of_line.select(F.col("hash").alias(end), F.struct("size", *_WORDS).alias(name))
+        pairs = pairs.join(side, end)
+    return work_table(pairs.where(_near("x", "y")).select("a", "b"))
+
+
+def _rest(rows: DataFrame, of_line: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a`` < ``b`` and ``far``: lines of different components that may link by their sizes
+    and sketches, of all pairs that share a bucket.
+
+    A pair is made in the first bucket it shares. Few lines are sent to all tasks; of more,
+    large buckets are dealt in blocks, of which every two meet in a cell of their own.
+    """
+    rows = work_table(_with_root(rows, roots, "hash", "root"))
+    full = work_table(_several(rows))
     last = (F.ceil(F.col("n") / BLOCK_LINES) - 1).cast("int")
-    rows = work_table(_in_buckets(rows, full, ["key", "n"]).select("*", last.alias("last")).drop("n"))
+    rows = _in_buckets(rows, full, ["key", "n"]).select("*", last.alias("last")).drop("n")
     own = F.pmod("hash", F.col("last") + 1).cast("int")
-    cells = (
-        rows.withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .drop("last", "other")
-        .join(of_line, "hash")
-    )
-    x, y = cells.alias("x"), cells.alias("y")
-    far = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in _WORDS), F.lit(0))
-    inside = (F.col("x.i") == F.col("x.j")) & (F.col("x.hash") < F.col("y.hash"))
-    smaller, larger = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    near = (smaller * 100 >= larger * PERCENT) & (
-        far * (100 + PERCENT) <= (smaller + larger) * (100 - PERCENT)
-    )
+    rows = work_table(rows.withColumn("own", own).join(of_line, "hash"))
+    small, fits = broadcast_if_bounded(rows)
+    if fits:
+        # Each task takes some lines of all buckets.
+        tasks = SPREAD * rows.sparkSession.sparkContext.defaultParallelism
+        x, y = rows.repartition(tasks, "hash").alias("x"), small.alias("y")
+        meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.hash") < F.col("y.hash"))
+    else:
+        cells = (
+            rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+            .withColumn("i", F.least("own", "other"))
+            .withColumn("j", F.greatest("own", "other"))
+            .drop("last", "other")
+        )
+        x, y = cells.alias("x"), cells.alias("y")
+        inside = (F.col("x.i") == F.col("x.j")) & (F.col("x.hash") < F.col("y.hash"))
+        meet = (
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.i") == F.col("y.i"))
+            & (F.col("x.j") == F.col("y.j"))
+            & ((F.col("x.own") < F.col("y.own")) | inside)
+        )
     agree = F.zip_with("x.keys", "y.keys", lambda one, other: one == other)
     first = F.array_position(agree, True) - 1
-    pairs = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.i") == F.col("y.i"))
-        & (F.col("x.j") == F.col("y.j"))
-        & ((F.col("x.own") < F.col("y.own")) | inside)
-        & (F.col("x.root") != F.col("y.root"))
-        & near
-        & (first == F.col("x.band")),
-    ).select(F.least("x.hash", "y.hash").alias("a"), F.greatest("x.hash", "y.hash").alias("b"), far.alias("far"))
+    other = F.col("x.root") != F.col("y.root")
+    pairs = x.join(y, meet & other & _near("x", "y") & (first == F.col("x.band"))).select(
+        F.least("x.hash", "y.hash").alias("a"),
+        F.greatest("x.hash", "y.hash").alias("b"),
+        _far("x", "y").alias("far"),
+    )
     pairs = work_table(pairs)
-    release(met, several, rows, full, of_line)
+    release(full, rows)
     return pairs
 
 
@@ -285,7 +336,11 @@ def _components(found: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = work_table(met.select("a", F.col("hash").alias("b")).distinct())
     lines = work_table(_lines_of_pairs(texts, found, pairs))
     roots = work_table(connected_components(work_table(_linked(lines, pairs))))
-    rest = _rest(met, roots, found, lines)
+    of_line, rows = _met_again(met, roots, found, lines)
+    # Most lines that link are of one component after their hubs.
+    hubs = _with_hubs(rows, of_line, roots)
+    roots = _joined(roots, work_table(_linked(lines, hubs)))
+    rest = _rest(rows, of_line, roots)
     # The nearest of each line first: most others are of one component then.
     turned = rest.union(rest.select(F.col("b").alias("a"), F.col("a").alias("b"), "far"))
     nearest = turned.groupBy("a").agg(F.min(F.struct("far", "b")).alias("to"))

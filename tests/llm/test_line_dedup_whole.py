@@ -90,6 +90,41 @@ def test_all_lines_of_a_bucket_are_compared(make_docs, monkeypatch):
     assert kept_by_operator(make_docs, lines) == expected
 
 
+def near_copies(count):
+    """Lines with one or two changed characters: of those with two, few link directly."""
+    rng = random.Random(7)
+    base = "".join(rng.choice("abcdefghijklmnop") for _ in range(300))
+    lines = []
+    for number in range(count):
+        line = list(base)
+        for at in rng.sample(range(20, 280), 1 + (number % 3 > 0)):
+            line[at] = "z"
+        lines.append("".join(line))
+    return lines
+
+
+def test_pairs_of_near_copies_do_not_grow_with_their_square(make_docs, monkeypatch):
+    made, rest = [], line_dedup._rest
+
+    def counted(*args):
+        pairs = rest(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_rest", counted)
+    lines = near_copies(240)
+    assert kept_by_operator(make_docs, lines) == kept_lines(lines)
+    assert made[0] < len(lines)
+
+
+def test_lines_too_many_to_send_are_compared_in_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 7)
+    monkeypatch.setattr(line_dedup, "HUBS", 1)
+    monkeypatch.setattr(line_dedup, "broadcast_if_bounded", lambda df, *args, **more: (df, False))
+    lines = near_copies(60)
+    assert kept_by_operator(make_docs, lines) == kept_lines(lines)
+
+
 def test_recall_on_a_whole_table(spark):
     """Removed lines of all documents of sf0.01 against all pairs that share a shingle."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
